@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from chatloom.operators.skew import HOT_ROWS, lookup
+from chatloom.operators.skew import HOT_ROWS, hot_limit, lookup
+from chatloom.scratch import materialize_and_measure
 
 EXACT_REASON = "exact_duplicate"  # fixed value
 
@@ -52,20 +53,31 @@ def _canonical_json(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def exact_copies(
     keyed: DataFrame, index: str, key: str = "key", *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rows of ``keyed`` that have an earlier row with the same key, plus its ``retained`` index.
+) -> tuple[DataFrame, int]:
+    """Rows that have an earlier row with the same key, plus its ``retained`` index; their number.
 
-    ``keyed`` should be a materialized narrow table. The groups are pre-aggregated before the
-    shuffle, and a key with very many copies is joined back over many tasks.
+    The groups are pre-aggregated before the shuffle, and a key with very many copies is joined
+    back over many tasks. ``keyed`` is read twice.
     """
-    groups = (
+    copies = F.col("_copies")
+    groups, seen = materialize_and_measure(
         keyed.groupBy(key)
         .agg(F.min(index).alias("retained"), F.count(F.lit(1)).alias("_copies"))
-        .where(F.col("_copies") > 1)
-        .drop("_copies")
+        .where(copies > 1),
+        "copy-groups",
+        groups=F.count(F.lit(1)),
+        rows=F.sum(copies),
+        largest=F.max(copies),
     )
-    joined = lookup(keyed, groups, key, F.col(index), hot_rows=hot_rows)
-    return joined.where(F.col(index) > F.col("retained"))
+    n_copies = (seen["rows"] or 0) - seen["groups"]
+    hot = []
+    if n_copies:
+        # Rows without copies are left out of the total, so the limit is on the safe side.
+        limit = hot_limit(seen["rows"], hot_rows)
+        if seen["largest"] > limit:
+            hot = [row[0] for row in groups.where(copies > limit).select(key).collect()]
+    joined = lookup(keyed, groups.drop("_copies"), key, F.col(index), hot)
+    return joined.where(F.col(index) > F.col("retained")), n_copies
 
 
 def drop_rows(df: DataFrame, removed: DataFrame, index: str) -> DataFrame:

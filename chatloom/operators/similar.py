@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.operators.exact import drop_rows, exact_copies
@@ -46,6 +46,9 @@ TILE_BYTES = 32 << 20
 PIVOT_BYTES = 16 << 20
 MAX_PIVOTS = 2048
 
+# Up to this many tiles every tile meets every other; partitioning pays only beyond.
+GRID_TILES = 16
+
 MIN_TILE_ROWS = 256
 ROWS_PER_PRODUCT = 1024
 
@@ -59,19 +62,25 @@ SCORE_DIGITS = 12
 
 @dataclass(frozen=True)
 class Tiling:
+    rows: int
     tile_rows: int
     pivots: int
 
 
 def plan_tiling(
-    rows: int, dimension: int, parallelism: int, requested_rows: int | None = None
+    rows: int,
+    dimension: int,
+    parallelism: int,
+    requested_rows: int | None = None,
+    grid_tiles: int = GRID_TILES,
 ) -> Tiling:
     """Tiles small enough to give every core several tile pairs and to fit the byte bound."""
     largest = max(1, TILE_BYTES // (4 * max(dimension, 1)))
     for_all_cores = math.ceil(rows / math.ceil(2 * math.sqrt(parallelism)))
     tile_rows = min(largest, requested_rows or max(MIN_TILE_ROWS, for_all_cores))
+    tiles = math.ceil(rows / tile_rows)
     most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // (4 * max(dimension, 1))))
-    return Tiling(tile_rows, max(1, min(most_pivots, math.ceil(rows / tile_rows))))
+    return Tiling(rows, tile_rows, 1 if tiles <= grid_tiles else min(most_pivots, tiles))
 
 
 def nearest_earlier(
@@ -82,6 +91,7 @@ def nearest_earlier(
     index: str = "row_index",
     vector: str = "embedding",
     tile_rows: int | None = None,
+    grid_tiles: int = GRID_TILES,
 ) -> DataFrame:
     """``duplicate_index, matched_index, similarity`` of every row with a close earlier row.
 
@@ -91,15 +101,15 @@ def nearest_earlier(
     rows = vectors.select(F.col(index).alias("id"), F.col(vector).alias("vec"))
     copies, n_copies = None, 0
     if profile.max_norm - profile.min_norm <= EQUAL_NORMS:
-        copies = materialize(_identical(rows), "identical")
-        n_copies = copies.count()
-        rows = drop_rows(rows, copies, "id") if n_copies else rows
+        copies, n_copies = _identical(rows)
+    if n_copies:
+        copies = materialize(copies, "identical")
+        rows = drop_rows(rows, copies, "id")
     cores = spark.sparkContext.defaultParallelism
-    tiling = plan_tiling(profile.rows - n_copies, profile.dimension, cores, tile_rows)
-    routed = materialize(_route(rows, tiling, profile, threshold), "routed")
+    tiling = plan_tiling(profile.rows - n_copies, profile.dimension, cores, tile_rows, grid_tiles)
     best = F.max(F.struct(F.col("similarity"), (-F.col("matched_index")).alias("_earliest")))
     matches = (
-        _units(spark, routed, tiling)
+        _units(rows, tiling, profile, threshold)
         .groupBy("partition", "left", "right")
         .applyInArrow(_compare_tiles(threshold), MATCH_SCHEMA)
         .groupBy("duplicate_index")
@@ -120,23 +130,21 @@ def nearest_earlier(
     return matches.unionByName(of_copies)
 
 
-def _identical(rows: DataFrame) -> DataFrame:
-    """(id, retained, similarity) of rows whose vector an earlier row has, too.
+def _identical(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(id, retained, similarity) of rows whose vector an earlier row has, too, and their number.
 
     The key is two 64-bit hashes with different seeds; the vectors themselves are not shuffled.
     """
     hashes = F.concat_ws("-", F.hex(F.xxhash64("vec")), F.hex(F.xxhash64(F.lit(1), "vec")))
     keyed = rows.select("id", hashes.alias("key"), squared_norm(F.col("vec")).alias("similarity"))
-    return exact_copies(materialize(keyed, "vector-keys"), "id").drop("key")
+    copies, n_copies = exact_copies(keyed, "id")
+    return copies.drop("key"), n_copies
 
 
 def _route(
     rows: DataFrame, tiling: Tiling, profile: VectorProfile, threshold: float
 ) -> DataFrame:
     """Add the home partition and the other partitions whose rows may reach the threshold."""
-    if tiling.pivots == 1:
-        nowhere = F.array().cast("array<int>")
-        return rows.select("*", F.lit(0).alias("home"), nowhere.alias("away"))
     # At most PIVOT_BYTES come to the driver. Any choice gives the same result; hash order follows
     # the density of the data, so a dense region gets many pivots.
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(tiling.pivots).select("vec").collect()
@@ -179,8 +187,23 @@ def _nearby(matrix: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[pa.Ar
     return pa.array(np.concatenate(homes)), away
 
 
-def _units(spark: SparkSession, routed: DataFrame, tiling: Tiling) -> DataFrame:
+def _units(
+    rows: DataFrame, tiling: Tiling, profile: VectorProfile, threshold: float
+) -> DataFrame:
     """One row per (tile pair, vector); the copies are made on the JVM side, next to the shuffle."""
+    if tiling.pivots == 1:
+        tiles = max(1, math.ceil(tiling.rows / tiling.tile_rows))
+        return _pair_tiles(
+            rows.select(
+                F.lit(0).alias("partition"),
+                F.lit(True).alias("lives"),
+                F.lit(tiles).alias("own"),
+                F.lit(0).alias("visiting"),
+                "id",
+                "vec",
+            )
+        )
+    routed = materialize(_route(rows, tiling, profile, threshold), "routed")
     places = F.concat(
         F.array(F.struct(F.col("home").alias("partition"), F.lit(True).alias("lives"))),
         F.transform("away", lambda p: F.struct(p.alias("partition"), F.lit(False).alias("lives"))),
@@ -196,16 +219,20 @@ def _units(spark: SparkSession, routed: DataFrame, tiling: Tiling) -> DataFrame:
     )
     # At most MAX_PIVOTS rows. A partition in which no row lives has nothing to be compared with.
     shapes = [
-        (row.partition, math.ceil(row.lives / tiling.tile_rows), math.ceil(row.visits / tiling.tile_rows))
+        (
+            row.partition,
+            math.ceil(row.lives / tiling.tile_rows),
+            math.ceil(row.visits / tiling.tile_rows),
+        )
         for row in sizes
         if row.lives
     ]
-    tiles = spark.createDataFrame(shapes, "partition int, own int, visiting int")
-    placed = (
-        routed.select("id", "vec", F.explode(places).alias("place"))
-        .select("id", "vec", "place.*")
-        .join(F.broadcast(tiles), "partition")
-    )
+    tiles = rows.sparkSession.createDataFrame(shapes, "partition int, own int, visiting int")
+    placed = routed.select("id", "vec", F.explode(places).alias("place"))
+    return _pair_tiles(placed.select("id", "vec", "place.*").join(F.broadcast(tiles), "partition"))
+
+
+def _pair_tiles(placed: DataFrame) -> DataFrame:
     hashed = F.xxhash64("id")
     tile = F.when(F.col("lives"), F.pmod(hashed, F.col("own"))).otherwise(
         F.col("own") + F.pmod(hashed, F.col("visiting"))

@@ -8,25 +8,32 @@ from pyspark.sql import functions as F
 # A key is hot if it holds more than 1/SALTS of all rows, so there are fewer than SALTS hot keys.
 SALTS = 128
 
-# Keys below this many rows are never worth splitting.
+# Keys of up to this many rows are never worth splitting.
 HOT_ROWS = 100_000
 
 
+def hot_limit(rows: int, hot_rows: int = HOT_ROWS) -> int:
+    """A key with more rows than this is hot."""
+    return max(hot_rows, rows // SALTS + 1)
+
+
+def hot_keys(facts: DataFrame, key: str, rows: int, hot_rows: int = HOT_ROWS) -> list:
+    """The hot keys among ``rows`` rows: fewer than SALTS values, found with partial counts."""
+    limit = hot_limit(rows, hot_rows)
+    if rows <= limit:
+        return []
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    frequent = counts.where((F.col("_rows") > limit) & F.col(key).isNotNull())
+    return [row[0] for row in frequent.select(key).collect()]
+
+
 def lookup(
-    facts: DataFrame,
-    unique: DataFrame,
-    key: str,
-    spread: Column,
-    *,
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    facts: DataFrame, unique: DataFrame, key: str, spread: Column, hot: list, how: str = "inner"
 ) -> DataFrame:
-    """Join ``facts`` to ``unique`` (one row per key), splitting hot keys over ``SALTS`` tasks.
+    """Join ``facts`` to ``unique`` (one row per key), splitting the hot keys over SALTS tasks.
 
-    ``spread`` is a column of ``facts`` that differs between rows of one key. ``facts`` should be
-    materialized, because finding the hot keys reads its key column once more.
+    ``spread`` is a column of ``facts`` that differs between rows of one key.
     """
-    hot = hot_keys(facts, key, hot_rows)
     if not hot:
         return facts.join(unique, key, how)
     is_hot = F.col(key).isin(hot)
@@ -39,11 +46,3 @@ def lookup(
         "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0))))
     )
     return salted_facts.join(salted_unique, [key, "_salt"], how).drop("_salt")
-
-
-def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than ``hot_rows`` rows and more than 1/SALTS of all rows: fewer than SALTS."""
-    limit = max(hot_rows, facts.count() // SALTS + 1)
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    frequent = counts.where((F.col("_rows") > limit) & F.col(key).isNotNull())
-    return [row[0] for row in frequent.select(key).collect()]

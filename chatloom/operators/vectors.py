@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Tolerance within which norms count as 1 (absolute plus relative part).
 NORM_TOLERANCE = 1e-3 + 1e-5
 
+# How far rounding to float32 can move a unit norm.
+FLOAT_ERROR = 2e-7
+
 
 def squared_norm(vector: Column) -> Column:
     return F.aggregate(
@@ -40,6 +43,12 @@ class VectorProfile:
         """Whether any norm is too far from 1 to use the vectors as they are."""
         return max(abs(self.min_norm - 1.0), abs(self.max_norm - 1.0)) > NORM_TOLERANCE
 
+    def after_normalization(self) -> "VectorProfile":
+        """The profile of what :func:`normalize` returns: float32 unit vectors if any was off."""
+        if not self.off_unit:
+            return self
+        return replace(self, min_norm=1.0 - FLOAT_ERROR, max_norm=1.0 + FLOAT_ERROR)
+
 
 def profile_columns(vector: str) -> list[Column]:
     """Aggregates over one pass; ``bad`` counts NULL, NaN and infinite vectors."""

@@ -8,9 +8,10 @@ columns they need.
 from __future__ import annotations
 
 import tempfile
+from typing import Any
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -34,3 +35,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_and_measure(
+    df: DataFrame, name: str, **measures: Column
+) -> tuple[DataFrame, dict[str, Any]]:
+    """The same, with aggregates over the rows taken while they are written, not in another job."""
+    watch = Observation()
+    observed = df.observe(watch, *(column.alias(key) for key, column in measures.items()))
+    return materialize(observed, name), watch.get
