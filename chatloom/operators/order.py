@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.scratch import materialize
+from chatloom.scratch import materialize_and_measure
 
 # A table of group offsets up to this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_GROUPS = 100_000
@@ -23,12 +23,11 @@ BUCKET_ROWS = 1 << 16
 
 def _with_offsets(df: DataFrame, groups: Sequence[str], sizes: DataFrame) -> DataFrame:
     earlier = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(
-        sizes.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).cast("long"))
-        .drop("_rows"),
-        "offsets",
+    offset = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).cast("long")
+    offsets, seen = materialize_and_measure(
+        sizes.withColumn("_offset", offset).drop("_rows"), "offsets", groups=F.count(F.lit(1))
     )
-    side = F.broadcast(offsets) if offsets.count() <= BROADCAST_GROUPS else offsets
+    side = F.broadcast(offsets) if seen["groups"] <= BROADCAST_GROUPS else offsets
     return df.join(side, list(groups))
 
 

@@ -50,7 +50,7 @@ MAX_PIVOTS = 2048
 GRID_TILES = 16
 
 MIN_TILE_ROWS = 256
-ROWS_PER_PRODUCT = 1024
+ROWS_PER_PRODUCT = 512
 
 # Norms within this distance of each other: a vector's own dot product is its largest.
 EQUAL_NORMS = 1e-6
@@ -90,12 +90,14 @@ def nearest_earlier(
     *,
     index: str = "row_index",
     vector: str = "embedding",
+    chunk_rows: int = ROWS_PER_PRODUCT,
     tile_rows: int | None = None,
     grid_tiles: int = GRID_TILES,
 ) -> DataFrame:
     """``duplicate_index, matched_index, similarity`` of every row with a close earlier row.
 
-    ``vectors`` must be materialized and checked, with norms as ``profile`` says.
+    ``vectors`` must be materialized and checked, with norms as ``profile`` says. The last three
+    parameters spread the work and do not change the result.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(index).alias("id"), F.col(vector).alias("vec"))
@@ -106,12 +108,12 @@ def nearest_earlier(
         copies = materialize(copies, "identical")
         rows = drop_rows(rows, copies, "id")
     cores = spark.sparkContext.defaultParallelism
-    tiling = plan_tiling(profile.rows - n_copies, profile.dimension, cores, tile_rows, grid_tiles)
+    tiling = plan_tiling(profile.n_rows - n_copies, profile.dimension, cores, tile_rows, grid_tiles)
     best = F.max(F.struct(F.col("similarity"), (-F.col("matched_index")).alias("_earliest")))
     matches = (
         _units(rows, tiling, profile, threshold)
         .groupBy("partition", "left", "right")
-        .applyInArrow(_compare_tiles(threshold), MATCH_SCHEMA)
+        .applyInArrow(_compare_tiles(threshold, chunk_rows), MATCH_SCHEMA)
         .groupBy("duplicate_index")
         .agg(best.alias("best"))
         .select(
@@ -260,7 +262,7 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.empty((0, 0))
 
 
-def _compare_tiles(threshold: float):
+def _compare_tiles(threshold: float, chunk_rows: int):
     """The work on one tile pair: the best earlier partner of each row, if it is close enough."""
     tie = 0.5 * 10.0**-SCORE_DIGITS
 
@@ -279,9 +281,9 @@ def _compare_tiles(threshold: float):
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         best = np.full(len(column_ids), -np.inf)
         partner = np.zeros(len(column_ids), dtype=np.int64)
-        for start in range(0, len(rows), ROWS_PER_PRODUCT):
-            some = row_ids[start : start + ROWS_PER_PRODUCT]
-            scores = rows[start : start + ROWS_PER_PRODUCT] @ columns
+        for start in range(0, len(rows), chunk_rows):
+            some = row_ids[start : start + chunk_rows]
+            scores = rows[start : start + chunk_rows] @ columns
             earlier = column_ids[None, :] < some[:, None]
             # ids ascend on both axes, so the first score within the tie width is the earliest row.
             backward = np.where(earlier, scores, -np.inf)

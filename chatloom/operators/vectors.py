@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 # Tolerance within which norms count as 1 (absolute plus relative part).
 NORM_TOLERANCE = 1e-3 + 1e-5
 
+COUNTS = ("n_rows", "min_dimension", "max_dimension", "zero_vectors", "bad_vectors")
+
 # How far rounding to float32 can move a unit norm.
 FLOAT_ERROR = 2e-7
 
@@ -26,7 +29,7 @@ def norm(vector: Column) -> Column:
 
 @dataclass(frozen=True)
 class VectorProfile:
-    rows: int
+    n_rows: int
     min_dimension: int
     max_dimension: int
     zero_vectors: int
@@ -50,32 +53,32 @@ class VectorProfile:
         return replace(self, min_norm=1.0 - FLOAT_ERROR, max_norm=1.0 + FLOAT_ERROR)
 
 
-def profile_columns(vector: str) -> list[Column]:
-    """Aggregates over one pass; ``bad`` counts NULL, NaN and infinite vectors."""
+def profile_columns(vector: str = "embedding") -> dict[str, Column]:
+    """Aggregates of one pass by name; ``bad_vectors`` are NULL, NaN or infinite."""
     length = norm(F.col(vector))
     usable = length.isNotNull() & ~F.isnan(length) & (length < float("inf"))
-    return [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(F.size(vector)).alias("min_dimension"),
-        F.max(F.size(vector)).alias("max_dimension"),
-        F.count_if(length == 0).alias("zero_vectors"),
-        F.count_if(~F.coalesce(usable, F.lit(False))).alias("bad_vectors"),
-        F.min(F.when(usable, length)).alias("min_norm"),
-        F.max(F.when(usable, length)).alias("max_norm"),
-    ]
+    return {
+        "n_rows": F.count(F.lit(1)),
+        "min_dimension": F.min(F.size(vector)),
+        "max_dimension": F.max(F.size(vector)),
+        "zero_vectors": F.count_if(length == 0),
+        "bad_vectors": F.count_if(~F.coalesce(usable, F.lit(False))),
+        "min_norm": F.min(F.when(usable, length)),
+        "max_norm": F.max(F.when(usable, length)),
+    }
+
+
+def profile_from(measured: dict[str, Any]) -> VectorProfile:
+    """From the values of :func:`profile_columns`; of no rows, an empty profile."""
+    filled = {name: measured.get(name) or 0 for name in COUNTS}
+    for name in ("min_norm", "max_norm"):
+        filled[name] = 1.0 if measured.get(name) is None else measured[name]
+    return VectorProfile(**filled)
 
 
 def profile_vectors(vectors: DataFrame, vector: str = "embedding") -> VectorProfile:
-    row = vectors.agg(*profile_columns(vector)).first()
-    return VectorProfile(
-        rows=row.n_rows,
-        min_dimension=row.min_dimension or 0,
-        max_dimension=row.max_dimension or 0,
-        zero_vectors=row.zero_vectors,
-        bad_vectors=row.bad_vectors,
-        min_norm=1.0 if row.min_norm is None else row.min_norm,
-        max_norm=1.0 if row.max_norm is None else row.max_norm,
-    )
+    columns = [column.alias(name) for name, column in profile_columns(vector).items()]
+    return profile_from(vectors.agg(*columns).first().asDict())
 
 
 def require_vectors(profile: VectorProfile) -> None:
@@ -97,14 +100,18 @@ def normalize(vectors: DataFrame, profile: VectorProfile, vector: str = "embeddi
     )
 
 
-def attach_vectors(records: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
-    """Join caller-supplied vectors; every record needs one and no vector may be left over."""
-    n_records, n_vectors = records.count(), vectors.count()
+def attach_vectors(
+    records: DataFrame, vectors: DataFrame, key: str, n_records: int | None = None
+) -> DataFrame:
+    """Join caller-supplied vectors to records; there must be as many of one as of the other.
+
+    A record whose key has no vector gets NULL, which the checks of the vectors report.
+    """
+    n_records = records.count() if n_records is None else n_records
+    n_vectors = vectors.count()
     if n_records != n_vectors:
         raise ValueError(
             "precomputed embeddings do not match the exact-unique records: "
             f"{n_vectors} != {n_records}"
         )
-    if not records.join(vectors, key, "left_anti").isEmpty():
-        raise ValueError(f"precomputed embeddings: some {key} values have no vector")
-    return records.join(vectors, key)
+    return records.join(vectors, key, "left")

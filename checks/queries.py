@@ -16,7 +16,7 @@ from chatloom.functions import chat
 from chatloom.functions.variant import DUPLICATE_KEYS_CONF, field, parse_strict
 from chatloom.operators.anchors import resolve_anchors
 from chatloom.operators.convert import convert_messages, convert_records, error_sample
-from chatloom.operators.embed import encode_hashed
+from chatloom.operators.embed import embed
 from chatloom.operators.exact import (
     conversation_key,
     drop_rows,
@@ -348,8 +348,8 @@ def text_full_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def embedding_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = _table(spark, sf_dir, "embeddings").agg(*profile_columns("embedding"))
-    return row.select(
+    columns = [column.alias(name) for name, column in profile_columns().items()]
+    return _table(spark, sf_dir, "embeddings").agg(*columns).select(
         "n_rows",
         F.col("min_dimension").cast("long").alias("min_dimension"),
         F.col("max_dimension").cast("long").alias("max_dimension"),
@@ -385,9 +385,8 @@ def precomputed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_hashed(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", "embedding"
-    )
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return embed(documents, DedupParams()).select("doc_id", "embedding")
 
 
 # -- near copies --------------------------------------------------------------------------------
