@@ -17,9 +17,8 @@ def fold_role(role: Column) -> Column:
     return F.lower(py_strip(role))
 
 
-def chat_role(role: Column) -> Column:
-    """``human``, ``gpt`` or ``system``; NULL for any other role."""
-    folded = fold_role(role)
+def chat_role(folded: Column) -> Column:
+    """``human``, ``gpt`` or ``system`` for a folded role; NULL for any other."""
     return (
         F.when(folded.isin(*USER_ROLES), "human")
         .when(folded.isin(*ASSISTANT_ROLES), "gpt")

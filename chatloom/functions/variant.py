@@ -6,6 +6,7 @@ decides whether a fallback key is looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,11 +19,21 @@ _END_MARK = "end-of-record-7d1c"
 DUPLICATE_KEYS_CONF = "spark.sql.variant.allowDuplicateKeys"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_strict(text: Column) -> Column:
     """VARIANT of the one JSON value in ``text``; NULL if malformed or followed by anything."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END_MARK}"]')))
-    complete = F.try_variant_get(wrapped, "$[1]", "string") == _END_MARK
-    return F.when(complete, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return _once(
+        wrapped,
+        lambda w: F.when(
+            F.try_variant_get(w, "$[1]", "string") == _END_MARK,
+            F.try_variant_get(w, "$[0]", "variant"),
+        ),
+    )
 
 
 def field(value: Column, *keys: str) -> Column:
@@ -41,7 +52,7 @@ def is_object(value: Column) -> Column:
 
 def string_or_null(value: Column) -> Column:
     """The text of a JSON string; NULL for every other type, numbers included."""
-    return F.when(is_string(value), F.try_variant_get(value, "$", "string"))
+    return _once(value, lambda v: F.when(is_string(v), F.try_variant_get(v, "$", "string")))
 
 
 def list_or_null(value: Column) -> Column:
@@ -51,11 +62,14 @@ def list_or_null(value: Column) -> Column:
 
 def py_text(value: Column, absent: str) -> Column:
     """What ``str()`` shows for a JSON scalar; ``absent`` where the key does not exist."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(value.isNull(), F.lit(absent))
-        .when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .otherwise(text)
-    )
+
+    def shown(v: Column) -> Column:
+        text = F.try_variant_get(v, "$", "string")
+        return (
+            F.when(v.isNull(), F.lit(absent))
+            .when(F.is_variant_null(v), F.lit("None"))
+            .when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(text))
+            .otherwise(text)
+        )
+
+    return _once(value, shown)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.roles import SYSTEM_ROLE, chat_role
+from chatloom.functions.roles import SYSTEM_ROLE, chat_role, fold_role
 from chatloom.functions.text import is_blank, py_strip
 from chatloom.functions.variant import field, is_object, list_or_null, py_text, string_or_null
 
@@ -84,14 +84,24 @@ def convert_messages(df: DataFrame, messages: str = "messages") -> DataFrame:
 
 
 def _validate(df: DataFrame) -> DataFrame:
-    checked = F.transform(
+    # Two steps, so that each text is stripped once.
+    stripped = F.transform(
         "_messages",
         lambda m: F.struct(
-            chat_role(m["role"]).alias("role"),
+            m["is_entry"].alias("is_entry"),
+            m["role"].alias("written_role"),
+            fold_role(m["role"]).alias("folded"),
             py_strip(m["content"]).alias("content"),
+        ),
+    )
+    checked = F.transform(
+        stripped,
+        lambda m: F.struct(
+            chat_role(m["folded"]).alias("role"),
+            m["content"].alias("content"),
             F.when(~m["is_entry"], BAD_ENTRY)
-            .when(_missing(m["content"]), NO_CONTENT)
-            .when(chat_role(m["role"]).isNull(), F.concat(F.lit(BAD_ROLE), m["role"]))
+            .when(F.coalesce(m["content"] == "", F.lit(True)), NO_CONTENT)
+            .when(chat_role(m["folded"]).isNull(), F.concat(F.lit(BAD_ROLE), m["written_role"]))
             .alias("error"),
         ),
     )
@@ -120,7 +130,9 @@ def _validate(df: DataFrame) -> DataFrame:
         "_checked", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value"))
     )
     return (
-        df.withColumn("_checked", checked)
+        # Exploding a one-element array keeps a later filter on ``error`` above this point. Pushed
+        # below it, the filter would repeat the work on the texts once for every use.
+        df.select("*", F.explode(F.array(checked)).alias("_checked"))
         .withColumn("_first_error", first_error)
         .withColumn("_roles", dialogue)
         .withColumn("error", error)

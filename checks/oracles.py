@@ -290,7 +290,10 @@ ORACLES["semantic_retained"] = (
 )
 ORACLES["anchor_chain"] = ALL_MATCHES + "SELECT * FROM log"
 ORACLES["semantic_removal_detail"] = (
-    ALL_MATCHES
+    "WITH RECURSIVE "
+    + _matches(
+        f"SELECT vec_id AS id, v FROM {WIDENED} JOIN documents ON doc_id = vec_id", THRESHOLD
+    )
     + """
 SELECT log.*, d.text AS duplicate_text, m.text AS matched_text, r.text AS retained_text
 FROM log JOIN documents d ON d.doc_id = duplicate_index

@@ -392,10 +392,8 @@ def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- near copies --------------------------------------------------------------------------------
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("row_index"), "embedding"
-    )
+def _matches(embeddings: DataFrame) -> DataFrame:
+    vectors = embeddings.select(F.col("vec_id").alias("row_index"), "embedding")
     profile = profile_vectors(vectors)
     require_vectors(profile)
     unit = normalize(vectors, profile)
@@ -404,30 +402,35 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def nearest_earlier_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _matches(spark, sf_dir).select(
+    return _matches(_table(spark, sf_dir, "embeddings")).select(
         "duplicate_index", "matched_index", F.round("similarity", 6).alias("similarity")
     )
 
 
 @_query
 def semantic_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    removed = _matches(spark, sf_dir).withColumnRenamed("duplicate_index", "vec_id")
-    return drop_rows(_table(spark, sf_dir, "embeddings").select("vec_id"), removed, "vec_id")
+    embeddings = _table(spark, sf_dir, "embeddings")
+    removed = _matches(embeddings).withColumnRenamed("duplicate_index", "vec_id")
+    return drop_rows(embeddings.select("vec_id"), removed, "vec_id")
 
 
 @_query
 def anchor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return match_log(resolve_anchors(materialize(_matches(spark, sf_dir), "matches")))
+    matches = materialize(_matches(_table(spark, sf_dir, "embeddings")), "matches")
+    return match_log(resolve_anchors(matches))
 
 
 @_query
 def semantic_removal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = materialize(_matches(spark, sf_dir), "matches")
-    log = materialize(match_log(resolve_anchors(matches)), "match-log")
-    documents = _document_records(
-        _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "row_index"), "row_index"
-    )
-    return removal_details(log, log.count(), documents).drop("record")
+    documents = _table(spark, sf_dir, "documents")
+    # The smallest tables have more vectors than documents.
+    covered = _table(spark, sf_dir, "embeddings").join(
+        documents.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi"
+    )
+    matches = materialize(_matches(materialize(covered, "vectors")), "matches")
+    log = match_log(resolve_anchors(matches))
+    records = _document_records(documents.withColumnRenamed("doc_id", "row_index"), "row_index")
+    return removal_details(log, log.count(), records).drop("record")
 
 
 def _document_dedup(spark: SparkSession, sf_dir: str) -> DedupResult:
