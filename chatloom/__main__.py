@@ -19,12 +19,16 @@ from chatloom.params import (
 )
 from chatloom.plans.dedup import deduplicate_file
 from chatloom.plans.prepare import prepare_file
+from chatloom.scratch import discard
 
 
 def main(arguments: list[str] | None = None) -> int:
     options = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"chatloom-{options.job}").getOrCreate()
-    options.run(spark, options)
+    try:
+        options.run(spark, options)
+    finally:
+        discard(spark)
     return 0
 
 

@@ -148,8 +148,12 @@ def _route(
 ) -> DataFrame:
     """Add the home partition and the other partitions whose rows may reach the threshold."""
     # At most PIVOT_BYTES come to the driver. Any choice gives the same result; hash order follows
-    # the density of the data, so a dense region gets many pivots.
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(tiling.pivots).select("vec").collect()
+    # the density of the data, so a dense region gets many pivots. The filter leaves a few times as
+    # many candidates as needed, so that their ordering stays small, too.
+    every = max(1, tiling.rows // (4 * tiling.pivots))
+    candidates = rows.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
+    chosen = candidates.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(tiling.pivots)
+    chosen = chosen.select("vec").collect()
     pivots = np.array([row.vec for row in chosen], dtype=np.float64)
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     shared = rows.sparkSession.sparkContext.broadcast(pivots)

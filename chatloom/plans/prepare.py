@@ -16,7 +16,12 @@ from chatloom.operators.texts import text_of_conversations
 from chatloom.params import PrepareParams
 from chatloom.plans.dedup import DedupResult, deduplicate, write_log
 from chatloom.scratch import materialize, materialize_and_measure
-from chatloom.sources.records import number_records, require_clean, scan_records
+from chatloom.sources.records import (
+    number_records,
+    require_clean,
+    scan_records,
+    source_checks,
+)
 from chatloom.sources.sinks import write_jsonl, write_report
 
 
@@ -118,8 +123,8 @@ def prepare_file(
     """Read, convert, deduplicate, split, and write both sets with the reports."""
     params.validate()
     scanned = convert_records(scan_records(spark, path, layout=layout), params.record_format)
-    read = materialize(scanned.drop("v"), "converted")
-    require_clean(read, path, layout=layout)
+    read, checks = materialize_and_measure(scanned.drop("v"), "converted", **source_checks())
+    require_clean(spark, path, checks, layout=layout)
     result = prepare(number_records(read), params, encoder=encoder)
     if result.dedup is not None:
         write_report(result.dedup.report, f"{output_dir}/semantic_dedup_report.json")

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Each driver process writes below a folder of its own.
+_RUN = uuid4().hex
+
 
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
@@ -27,7 +30,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/chatloom/{name}-{uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/chatloom-{_RUN}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what this process wrote, once none of its DataFrames is needed any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

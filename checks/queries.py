@@ -39,13 +39,14 @@ from chatloom.operators.vectors import (
 from chatloom.params import DedupParams, PrepareParams
 from chatloom.plans.dedup import DedupResult, deduplicate
 from chatloom.plans.prepare import PrepareResult, prepare
-from chatloom.scratch import materialize, scratch_path
+from chatloom.scratch import materialize, materialize_and_measure, scratch_path
 from chatloom.sources.records import (
     number_records,
     parse_documents,
     parse_lines,
     require_clean,
     scan_records,
+    source_checks,
 )
 from chatloom.sources.sinks import write_jsonl
 from chatloom.sources.turns import conversations_from_turns, turns_from_conversations
@@ -118,8 +119,10 @@ def jsonl_source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     path = scratch_path(spark, "documents") + ".jsonl"
     write_jsonl(documents.orderBy("doc_id"), path, _object(doc_id="doc_id", lang="lang"))
-    read = materialize(scan_records(spark, path).drop("v"), "records")
-    require_clean(read, path)
+    read, checks = materialize_and_measure(
+        scan_records(spark, path).drop("v"), "records", **source_checks()
+    )
+    require_clean(spark, path, checks)
     doc_id = F.try_variant_get(parse_strict(F.col("raw")), "$.doc_id", "bigint")
     return number_records(read).select("source_index", doc_id.alias("doc_id"))
 
