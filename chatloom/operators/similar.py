@@ -76,7 +76,8 @@ def plan_tiling(
 ) -> Tiling:
     """Tiles small enough to give every core several tile pairs and to fit the byte bound."""
     largest = max(1, TILE_BYTES // (4 * max(dimension, 1)))
-    for_all_cores = math.ceil(rows / math.ceil(2 * math.sqrt(parallelism)))
+    # About eight tile pairs per core, because they spread over the tasks by hash.
+    for_all_cores = math.ceil(rows / math.ceil(4 * math.sqrt(parallelism)))
     tile_rows = min(largest, requested_rows or max(MIN_TILE_ROWS, for_all_cores))
     tiles = math.ceil(rows / tile_rows)
     most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // (4 * max(dimension, 1))))
@@ -286,22 +287,29 @@ def _compare_tiles(threshold: float, chunk_rows: int):
         best = np.full(len(column_ids), -np.inf)
         partner = np.zeros(len(column_ids), dtype=np.int64)
         for start in range(0, len(rows), chunk_rows):
-            some = row_ids[start : start + chunk_rows]
             scores = rows[start : start + chunk_rows] @ columns
-            earlier = column_ids[None, :] < some[:, None]
+            # Only rows and columns with a close partner go on; mostly these are few.
+            near = np.flatnonzero(scores.max(axis=1) >= threshold)
+            scores = scores[near]
+            across = np.flatnonzero(scores.max(axis=0, initial=-np.inf) >= threshold)
+            if not across.size:
+                continue
+            scores = scores[:, across]
+            some, others = row_ids[start + near], column_ids[across]
+            earlier = others[None, :] < some[:, None]
             # ids ascend on both axes, so the first score within the tie width is the earliest row.
             backward = np.where(earlier, scores, -np.inf)
-            top = backward.max(axis=1, initial=-np.inf)
+            top = backward.max(axis=1)
             hit = np.flatnonzero(top >= threshold)
             match = (backward[hit] >= top[hit, None] - tie).argmax(axis=1)
-            found.append((some[hit], column_ids[match], top[hit]))
+            found.append((some[hit], others[match], top[hit]))
             if one_tile:
                 continue
             forward = np.where(earlier, -np.inf, scores)
-            top = forward.max(axis=0, initial=-np.inf)
-            better = np.flatnonzero((top >= threshold) & (top > best + tie))
+            top = forward.max(axis=0)
+            better = np.flatnonzero((top >= threshold) & (top > best[across] + tie))
             match = (forward[:, better] >= top[better] - tie).argmax(axis=0)
-            best[better], partner[better] = top[better], some[match]
+            best[across[better]], partner[across[better]] = top[better], some[match]
         hit = np.flatnonzero(best >= threshold)
         found.append((column_ids[hit], partner[hit], best[hit]))
         duplicate, matched, score = (np.concatenate(part) for part in zip(*found))
