@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chatloom.functions.text import PY_WHITESPACE
+from chatloom.operators.embed import HASHED_BITS, TRIGRAM_FACTORS
 
 from checks.queries import (
     CONVERSATION_THRESHOLD,
@@ -245,6 +246,27 @@ SELECT vec_id,
 FROM measured
 """
 
+FIRST, SECOND, THIRD = (int(factor) for factor in TRIGRAM_FACTORS)
+
+ORACLES["hash_embedding"] = f"""
+WITH coded AS (
+    SELECT doc_id, list_transform(regexp_extract_all(chr(2) || text || chr(3), '(?s).'),
+                                  lambda c: unicode(c)::HUGEINT) AS c
+    FROM documents
+),
+grams AS (SELECT doc_id, c, unnest(range(1, len(c) - 1)) AS i FROM coded),
+buckets AS (
+    SELECT doc_id, (c[i] * {FIRST} + c[i + 1] * {SECOND} + c[i + 2] * {THIRD})
+                   % {1 << 64}::HUGEINT // {1 << (64 - HASHED_BITS)}::HUGEINT AS bucket
+    FROM grams
+),
+counts AS (SELECT doc_id, bucket, count(*) AS n FROM buckets GROUP BY ALL),
+lengths AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id)
+SELECT doc_id, count(*) AS n_used,
+       round(sum((n / norm)::FLOAT::DOUBLE * (bucket + 1)), 4) AS weighted_sum
+FROM counts JOIN lengths USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLES["precomputed_vectors"] = """
 SELECT doc_id, lang, len(embedding) AS dimension
 FROM documents JOIN embeddings ON doc_id = vec_id

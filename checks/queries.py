@@ -363,18 +363,18 @@ def embedding_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _weighted_sum(vector: str) -> Column:
+    weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    return F.aggregate(weighted, F.lit(0.0), lambda total, x: total + x)
+
+
 @_query
 def renormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     stretched = F.transform("embedding", lambda x: (x * (F.col("label") + 1)).cast("float"))
     scaled = vectors.select("vec_id", stretched.alias("embedding"))
     unit = normalize(scaled, profile_vectors(scaled))
-    weighted = F.aggregate(
-        F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)),
-        F.lit(0.0),
-        lambda total, x: total + x,
-    )
-    return unit.select("vec_id", F.round(weighted, 4).alias("weighted_sum"))
+    return unit.select("vec_id", F.round(_weighted_sum("embedding"), 4).alias("weighted_sum"))
 
 
 @_query
@@ -388,8 +388,13 @@ def precomputed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default encoder; each vector is shown by two numbers that any change would move."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return embed(documents, DedupParams()).select("doc_id", "embedding")
+    return embed(documents, DedupParams()).select(
+        "doc_id",
+        F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("n_used"),
+        F.round(_weighted_sum("embedding"), 4).alias("weighted_sum"),
+    )
 
 
 # -- near copies --------------------------------------------------------------------------------

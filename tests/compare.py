@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from pathlib import Path
 
@@ -19,17 +18,11 @@ def duckdb_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
         return [column[0] for column in result.description], result.fetchall()
 
 
-def _plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
-    return value
-
-
 def bag(columns: list[str], rows: list[tuple]) -> tuple[list[str], Counter]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return (
         [columns[i] for i in order],
-        Counter(tuple(_plain(row[i]) for i in order) for row in rows),
+        Counter(tuple(row[i] for i in order) for row in rows),
     )
 
 
