@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from chatloom.operators.embed import Encoder
 from chatloom.params import (
+    BAD_RECORD_MODES,
     DEDUP_FIELDS,
     RECORD_FORMATS,
     TEXT_MODES,
@@ -70,6 +71,7 @@ def _common(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--input", required=True, help="file or folder of records")
     parser.add_argument("--output-dir", required=True)
     parser.add_argument("--layout", default="auto", choices=("auto", "lines", "document"))
+    parser.add_argument("--bad-records", default="fail", choices=BAD_RECORD_MODES)
     parser.add_argument("--encoder", help="module:function that returns an embedding function")
 
 
@@ -95,6 +97,7 @@ def _prepare(spark: SparkSession, options: argparse.Namespace) -> None:
         params,
         encoder=_encoder(options),
         layout=options.layout,
+        bad_records=options.bad_records,
     )
     _show(result.stats.first().asDict(recursive=True))
     errors = result.errors.collect()
@@ -116,6 +119,7 @@ def _dedup(spark: SparkSession, options: argparse.Namespace) -> None:
         _dedup_params(options, config),
         encoder=_encoder(options),
         layout=options.layout,
+        bad_records=options.bad_records,
     )
     _show(result.report.first().asDict(recursive=True))
 

@@ -44,9 +44,8 @@ def record_key(value: Column, raw: Column) -> Column:
 def _canonical_json(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         yield batch.map(
-            lambda text: json.dumps(
-                json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":")
-            ),
+            # Escaped to ASCII, as half of a surrogate pair could not travel back otherwise.
+            lambda text: json.dumps(json.loads(text), sort_keys=True, separators=(",", ":")),
             na_action="ignore",
         )
 

@@ -119,13 +119,19 @@ def prepare_file(
     *,
     encoder: Encoder | None = None,
     layout: str = "auto",
+    bad_records: str = "fail",
 ) -> PrepareResult:
-    """Read, convert, deduplicate, split, and write both sets with the reports."""
+    """Read, convert, deduplicate, split, and write both sets with the reports.
+
+    Records that cannot be converted are always set aside; text that is no JSON object fails the
+    job unless ``bad_records`` is ``quarantine``.
+    """
     params.validate()
     scanned = convert_records(scan_records(spark, path, layout=layout), params.record_format)
     read, checks = materialize_and_measure(scanned.drop("v"), "converted", **source_checks())
-    require_clean(spark, path, checks, layout=layout)
-    result = prepare(number_records(read), params, encoder=encoder)
+    require_clean(spark, path, checks, layout=layout, bad_records=bad_records)
+    records = number_records(read).withColumn("error", F.coalesce("parse_error", "error"))
+    result = prepare(records, params, encoder=encoder)
     if result.dedup is not None:
         write_report(result.dedup.report, f"{output_dir}/semantic_dedup_report.json")
         write_log(result.dedup.removed, f"{output_dir}/semantic_duplicates_removed.jsonl")

@@ -13,6 +13,7 @@ from chatloom.operators.embed import embed, sentence_encoder
 from chatloom.params import DedupParams, PrepareParams, config_object
 from chatloom.plans.dedup import deduplicate, deduplicate_file
 from chatloom.plans.prepare import prepare_file
+from chatloom.sources.records import SourceError
 from chatloom.streaming.convert import converted_stream, write_stream
 
 # Workers cannot import this module, so its encoder travels with the job.
@@ -122,6 +123,31 @@ def test_dedup_stops_at_a_record_without_text(spark, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+def test_bad_records_can_be_set_aside(spark, tmp_path):
+    path = tmp_path / "in.jsonl"
+    good = [json.dumps(chat(q, "1")) for q in ("a", "b", "b")]
+    path.write_text("\n".join([good[0], "{bad", good[1], '{"messages":[]}', good[2]]))
+    deduplicate_file(
+        spark,
+        str(path),
+        str(tmp_path / "d"),
+        DedupParams(),
+        encoder=letter_encoder,
+        bad_records="quarantine",
+    )
+    assert len(read_lines(spark, tmp_path / "d/deduplicated.jsonl")) == 2
+    rejected = read_lines(spark, tmp_path / "d/rejected.jsonl")
+    assert [(r["source_index"], r["error"][:12]) for r in rejected] == [
+        (1, "Invalid JSON"), (3, "Record is mi")
+    ]
+    params = PrepareParams("sharegpt", 0.5)
+    with pytest.raises(SourceError):
+        prepare_file(spark, str(path), str(tmp_path / "p"), params)
+    prepare_file(spark, str(path), str(tmp_path / "p"), params, bad_records="quarantine")
+    stats = read_report(spark, tmp_path / "p/dataset_stats.json")
+    assert (stats["invalid_records"], stats["valid_unique_records"]) == (2, 2)
+
+
 def test_dedup_of_nothing(spark):
     empty = spark.createDataFrame(
         [], "source_index long, record string, text string, text_error string, key string"
