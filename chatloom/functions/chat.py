@@ -38,7 +38,7 @@ def history_from_roles(history: Column) -> Column:
 
 
 def history_from_pairs(pairs: Column) -> Column:
-    """(user, assistant) pairs to messages; an empty side is left out, the user side kept as it is."""
+    """(user, assistant) pairs to messages, without empty sides; the user side stays as it is."""
 
     def spoken(pair: Column) -> Column:
         sides = F.array(

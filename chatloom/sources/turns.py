@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 def conversations_from_turns(turns: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text`` rows to one ``messages`` array per conversation."""
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
-    return turns.groupBy("conv_id").agg(
-        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-        .alias("messages")
+    turn = F.struct("turn", "role", F.col("text").alias("content"))
+    messages = F.transform(
+        F.sort_array(F.collect_list(turn)),
+        lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
     )
+    return turns.groupBy("conv_id").agg(messages.alias("messages"))
 
 
 def turns_from_conversations(conversations: DataFrame, messages: str = "messages") -> DataFrame:

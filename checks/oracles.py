@@ -89,7 +89,8 @@ checked AS (
     FROM messages
 ),
 spoken AS (
-    SELECT conv_id, count(*) AS n, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role,
+    SELECT conv_id, count(*) AS n, arg_min(role, turn) AS first_role,
+           arg_max(role, turn) AS last_role,
            count(*) FILTER (WHERE role = before) AS repeats
     FROM (SELECT conv_id, turn, role,
                  lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before
@@ -106,7 +107,7 @@ converted AS (
     SELECT conv_id, dialogue,
            coalesce(message_error,
                CASE WHEN coalesce(n, 0) < 2 OR first_role <> 'human' OR last_role <> 'gpt'
-                        THEN 'Conversation must start with a user turn and end with an assistant turn'
+                    THEN 'Conversation must start with a user turn and end with an assistant turn'
                     WHEN repeats > 0 THEN 'User and assistant turns must alternate' END) AS error
     FROM grouped LEFT JOIN spoken USING (conv_id)
 )
@@ -204,7 +205,8 @@ grouped AS (
 judged AS (
     SELECT conv_id, text,
            CASE WHEN blank THEN {NO_CONTENT}
-                WHEN {needs_user} AND users = 0 THEN 'Record has no user/human turn' END AS text_error
+                WHEN {needs_user} AND users = 0
+                    THEN 'Record has no user/human turn' END AS text_error
     FROM grouped
 )
 SELECT conv_id, CASE WHEN text_error IS NULL THEN text END AS text, text_error FROM judged
@@ -494,7 +496,8 @@ ORACLES["request_assembly"] = (
     HISTORIES
     + f"""
 SELECT conv_id, 'system: {SYSTEM_PROMPT}' || {NL}
-       || CASE WHEN dialogue = '' THEN '' ELSE dialogue || {NL} END || 'user: {QUESTION}' AS dialogue
+       || CASE WHEN dialogue = '' THEN '' ELSE dialogue || {NL} END
+       || 'user: {QUESTION}' AS dialogue
 FROM histories
 """
 )
@@ -512,7 +515,9 @@ SELECT conv_id,
 FROM marked GROUP BY conv_id
 """
 
-PROMPT = f"'<|im_start|>user' || {NL} || text || '<|im_end|>' || {NL} || '<|im_start|>assistant' || {NL}"
+PROMPT = (
+    f"'<|im_start|>user' || {NL} || text || '<|im_end|>' || {NL} || '<|im_start|>assistant' || {NL}"
+)
 
 ORACLES["turn_prompts"] = f"""
 SELECT conv_id, turn,
