@@ -99,14 +99,16 @@ def jsonl_parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _object(doc_id="doc_id", text="text")
     line = _cases(
         F.col("n_chars") % 8,
-        F.lit(" \u3000"),
+        good,
         F.concat(F.lit('{"text": '), F.to_json(F.struct("text"))),
         F.concat(F.lit("["), good, F.lit("]")),
         F.concat(good, F.lit(" {}")),
         F.concat(F.lit("\t"), good, F.lit(" ")),
         good,
     )
-    parsed = parse_lines(documents.select("doc_id", line.alias("raw")))
+    # Every line is followed by a blank one, which the reader has to drop.
+    with_blanks = F.explode(F.array(line, F.lit(" \u3000")))
+    parsed = parse_lines(documents.select("doc_id", with_blanks.alias("raw")))
     return parsed.select(
         "doc_id",
         F.coalesce("parse_error", F.lit("ok")).alias("status"),

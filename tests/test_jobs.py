@@ -107,7 +107,7 @@ def test_dedup_with_supplied_vectors(spark):
         "source_index long, record string, text string, text_error string, key string",
     )
     vectors = spark.createDataFrame(
-        [(0, [1.0, 0.0]), (1, [0.995, 0.05]), (2, [0.0, 1.0])],
+        [(0, [1.0, 0.0]), (1, [0.98, 0.199]), (2, [0.0, 1.0])],
         "row_index long, embedding array<float>",
     )
     result = deduplicate(records, DedupParams(similarity_threshold=0.95), vectors=vectors)
