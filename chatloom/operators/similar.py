@@ -158,19 +158,27 @@ def _route(
     pivots = np.array([row.vec for row in chosen], dtype=np.float64)
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
-    # A row behind the plane is at least as far away, in angle, as the plane itself.
-    cosine = min(1.0, threshold / profile.max_norm**2)
-    reach = profile.max_norm * math.sqrt(1.0 - cosine**2) + PRUNING_SLACK
+    reach = reach_of(threshold, profile.max_norm)
 
     @F.arrow_udf("struct<home:int,away:array<int>>")
     def place(vectors: pa.Array) -> pa.Array:
-        homes, away = _nearby(_matrix(vectors), shared.value, reach)
+        homes, away = nearby(_matrix(vectors), shared.value, reach)
         return pa.StructArray.from_arrays([homes, away], ["home", "away"])
 
     return rows.withColumn("place", place("vec")).select("id", "vec", "place.*")
 
 
-def _nearby(matrix: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[pa.Array, pa.Array]:
+def reach_of(threshold: float, max_norm: float) -> float:
+    """Distance from a plane through the origin up to which a row can have a match behind it.
+
+    A row behind the plane is at least as far away, in angle, as the plane itself.
+    """
+    cosine = min(1.0, threshold / max_norm**2)
+    return max_norm * math.sqrt(1.0 - cosine**2) + PRUNING_SLACK
+
+
+def nearby(matrix: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[pa.Array, pa.Array]:
+    """Home partition of each row, and the other partitions it has to visit."""
     count = len(pivots)
     squares = (pivots**2).sum(axis=1)
     gaps = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * pivots @ pivots.T, 0.0))

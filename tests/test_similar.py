@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.anchors import resolve_anchors
 from chatloom.operators.removal import match_log, removal_details
-from chatloom.operators.similar import nearest_earlier, plan_tiling
+from chatloom.operators.similar import nearest_earlier, nearby, plan_tiling, reach_of
 from chatloom.operators.vectors import (
     attach_vectors,
     normalize,
@@ -197,3 +197,20 @@ def test_tiles_are_bounded():
             tiling = plan_tiling(rows, 768, cores)
             assert tiling.tile_rows * 768 * 4 <= 32 << 20
             assert 1 <= tiling.pivots <= 2048 and tiling.pivots * 768 * 4 <= 16 << 20
+
+
+def test_every_close_pair_meets_in_exactly_one_partition():
+    rng = np.random.default_rng(0)
+    for trial in range(60):
+        dimension, rows = int(rng.integers(2, 12)), int(rng.integers(20, 120))
+        matrix = rng.normal(size=(rows, dimension)) + rng.normal(size=dimension) * (trial % 4)
+        matrix = unit(matrix).astype(np.float64) * rng.uniform(0.9995, 1.0005, (rows, 1))
+        threshold = float(rng.choice([0.05, 0.3, 0.7, 0.92, 0.99, 0.9999, 1.0]))
+        pivots = unit(matrix[rng.choice(rows, int(rng.integers(2, 20)), replace=False)])
+        pivots[-1] = pivots[0]
+        longest = float(np.linalg.norm(matrix, axis=1).max())
+        homes, away = nearby(matrix, pivots.astype(np.float64), reach_of(threshold, longest))
+        homes, away = homes.to_numpy(), [set(targets) for targets in away.to_pylist()]
+        for i, j in zip(*np.nonzero(np.triu(matrix @ matrix.T >= threshold, 1))):
+            meetings = (homes[i] == homes[j]) + (homes[j] in away[i]) + (homes[i] in away[j])
+            assert meetings == 1
