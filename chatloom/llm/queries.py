@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import op4_fingerprint, op9_mixing, op10_pii
+from chatloom.llm import (
+    op3_jaccard_join,
+    op4_fingerprint,
+    op6_toxicity,
+    op7_packing,
+    op9_mixing,
+    op10_pii,
+)
 from chatloom.llm.common import table
 
 
+def op3_jaccard_join_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = op9_mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -25,7 +46,10 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_jaccard_join_documents": op3_jaccard_join_documents,
     "op4_fingerprints": op4_fingerprints,
+    "op6_toxicity_scores": op6_toxicity_scores,
+    "op7_packed_sequences": op7_packed_sequences,
     "op9_mix_sources": op9_mix_sources,
     "op10_surrogates": op10_surrogates,
 }
