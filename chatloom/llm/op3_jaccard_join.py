@@ -311,21 +311,20 @@ def _named_units(batches: Iterator[pa.RecordBatch], more: bool) -> Iterator[tupl
         yield current[0], unit
 
 
-def jaccard_join(
+def _classed_rows(
     docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = MAX_DEPTH,
     target: float = TARGET_RECALL, tile_texts: int = TILE_TEXTS,
     broadcast_nodes: int = BROADCAST_NODES,
 ) -> DataFrame:
-    """One row per document with its class and number of links: see the module."""
+    """Per row ``doc_id``, ``key`` and the facts of its text; ``kept`` marks the rows of the class's
+    least id (and least key, should several texts have that id)."""
     keyed = docs.select(
         F.col("doc_id").cast("bigint"),
         text_key(F.col("text")).alias("key"),
         F.col("text").cast("string"),
     )
     rows, seen = materialize_and_measure(
-        keyed.mapInArrow(
-            _sketched(trees, depth), "doc_id bigint, key binary, symbols binary"
-        ),
+        keyed.mapInArrow(_sketched(trees, depth), "doc_id bigint, key binary, symbols binary"),
         "forest-symbols",
         rows=F.count(F.lit(1)),
     )
@@ -350,11 +349,13 @@ def jaccard_join(
         .join(roots, "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
     )
-    least = classed.groupBy("root").agg(F.min("rep").alias("class_id"))
+    order = F.struct(F.col("rep").isNull().alias("none"), "rep", "key")
+    least = classed.groupBy("root").agg(F.min(order).alias("first"))
     described = materialize(
         classed.join(least, "root").select(
             "key",
-            "class_id",
+            F.col("first.rep").alias("class_id"),
+            (F.col("first.key") == F.col("key")).alias("first"),
             "copies",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
             F.coalesce("text_links", F.lit(0)).alias("text_links"),
@@ -366,4 +367,43 @@ def jaccard_join(
     hot = [row[0] for row in described.where(F.col("copies") > limit).select("key").collect()]
     rows = rows.select("doc_id", "key", F.monotonically_increasing_id().alias("_spread"))
     joined = lookup(rows, described, "key", F.col("_spread"), hot)
-    return joined.select("doc_id", "class_id", "links", "text_links", "copies")
+    return joined.withColumn(
+        "kept", F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    )
+
+
+def jaccard_join(docs: DataFrame, **settings) -> DataFrame:
+    """One row per document with its class and number of links: see the module."""
+    return _classed_rows(docs, **settings).select(
+        "doc_id", "class_id", "links", "text_links", "copies"
+    )
+
+
+def representatives(docs: DataFrame, **settings) -> DataFrame:
+    """One row of ``docs`` for each class, one with the least id; all columns are kept.
+
+    The rows that go are joined to ``docs``, broadcast up to ``BROADCAST_NODES`` of them.
+    """
+    marks, seen = materialize_and_measure(
+        _classed_rows(docs, **settings)
+        .groupBy("doc_id", "key")
+        .agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
+        .where(~F.col("kept") | (F.col("times") > 1))
+        .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "kept"),
+        "forest-marks",
+        rows=F.count(F.lit(1)),
+        again=F.count_if("kept"),
+    )
+    if seen["rows"] <= settings.get("broadcast_nodes", BROADCAST_NODES):
+        marks = F.broadcast(marks)
+    same = F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    marked = docs.withColumns(
+        {"_of": F.col("doc_id").cast("bigint"), "_text_key": text_key(F.col("text"))}
+    ).join(marks, same, "left")
+    result = marked.where(F.col("kept").isNull())
+    if seen["again"]:
+        # A row that is there several times stays once.
+        result = result.unionByName(
+            marked.where(F.col("kept")).dropDuplicates(["_of", "_text_key"])
+        )
+    return result.select(*docs.columns)

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatloom.llm import (
+    op1_warc,
+    op2_token_counts,
     op3_jaccard_join,
     op4_fingerprint,
+    op5_neighbours,
     op6_toxicity,
     op7_packing,
+    op8_resharding,
     op9_mixing,
     op10_pii,
 )
 from chatloom.llm.common import table
 
 
+def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, records = op1_warc.archive(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_token_counts.rollup(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -23,6 +37,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -33,6 +51,11 @@ def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_resharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = op8_resharding.reshard(table(spark, sf_dir, "documents"))
+    return op8_resharding.digests(rows)
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = op9_mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -46,12 +69,19 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_archives": op1_warc_archives,
+    "op2_token_rollup": op2_token_rollup,
     "op3_jaccard_join_documents": op3_jaccard_join_documents,
     "op4_fingerprints": op4_fingerprints,
+    "op5_nearest_vectors": op5_nearest_vectors,
     "op6_toxicity_scores": op6_toxicity_scores,
     "op7_packed_sequences": op7_packed_sequences,
+    "op8_resharded_documents": op8_resharded_documents,
     "op9_mix_sources": op9_mix_sources,
     "op10_surrogates": op10_surrogates,
 }
 
-ORACLES = {"op9_mix_sources": op9_mixing.MIX_SQL}
+ORACLES = {
+    "op1_warc_archives": op1_warc.WARC_SQL,
+    "op9_mix_sources": op9_mixing.MIX_SQL,
+}
