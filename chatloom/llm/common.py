@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.scratch import materialize, scratch_path
 
-__all__ = ["delete_path", "keyed_long", "materialize", "path_exists", "scratch_path", "table", "words"]
+__all__ = ["delete_path", "fresh", "keyed_long", "materialize", "rename_path", "scratch_path", "table"]
 
 # Runs of anything but ASCII white space, as in text files; the same in every locale.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -17,9 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def words(text: Column) -> Column:
-    """The words of a text in order; a null text has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD_PATTERN), F.lit(0))
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores in front until it is not one of ``taken``."""
+    used = {other.lower() for other in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
 
 
 def keyed_long(key: str, *parts: Column) -> Column:
@@ -33,11 +38,6 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, files = _hadoop(spark, path)
-    return files.exists(hadoop_path)
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path, files = _hadoop(spark, path)
     files.delete(hadoop_path, True)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import keyed_long, materialize
+from chatloom.llm.common import fresh, keyed_long, materialize
 
 KEY = "surrogates-1"
 
@@ -105,28 +105,21 @@ def _chars(text: Column) -> Column:
 def _feistel(high: Column, low: Column, high_size: Column, low_size: Column, key: str, tweak: Column):
     """A keyed permutation of pairs below (high_size, low_size), as a struct of both."""
 
+    def step(turn: str, changes_high: bool):
+        # Spark counts the parameters of these functions, so constants come in from around them.
+        def change(p: Column) -> Column:
+            if changes_high:
+                number = keyed_long(f"{key}/{turn}", tweak, p["b"].cast("string"))
+                return F.struct(((p["a"] + number) % high_size).alias("a"), p["b"].alias("b"))
+            number = keyed_long(f"{key}/{turn}", tweak, p["a"].cast("string"))
+            return F.struct(p["a"].alias("a"), ((p["b"] + number) % low_size).alias("b"))
+
+        return change
+
     def rounds(pair: Column) -> Column:
         for turn in range(2):
-            pair = _let(
-                pair,
-                lambda p, turn=turn: F.struct(
-                    (
-                        (p["a"] + keyed_long(f"{key}/a{turn}", tweak, p["b"].cast("string")))
-                        % high_size
-                    ).alias("a"),
-                    p["b"].alias("b"),
-                ),
-            )
-            pair = _let(
-                pair,
-                lambda p, turn=turn: F.struct(
-                    p["a"].alias("a"),
-                    (
-                        (p["b"] + keyed_long(f"{key}/b{turn}", tweak, p["a"].cast("string")))
-                        % low_size
-                    ).alias("b"),
-                ),
-            )
+            pair = _let(pair, step(f"a{turn}", True))
+            pair = _let(pair, step(f"b{turn}", False))
         return pair
 
     def pair(a: Column, b: Column) -> Column:
@@ -459,21 +452,22 @@ def collision_free_key(docs: DataFrame, key: str = KEY, attempts: int = 8) -> st
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, ``n_chars`` of the new text where that column is there,
-    and the array ``entity_kinds`` of what was replaced."""
+    and the array ``entity_kinds`` of what was replaced (instead of any column of that name)."""
     columns = [name for name in docs.columns if name != "entity_kinds"]
-    found = docs.select(*columns, detected(F.col("text")).alias("__entities"))
-    done = found.withColumn("text", replaced(F.col("text"), F.col("__entities"), key))
+    entities = fresh("entities", columns)
+    found = docs.select(*columns, detected(F.col("text")).alias(entities))
+    done = found.withColumn("text", replaced(F.col("text"), F.col(entities), key))
     if "n_chars" in columns:
         # Kept as it was where nothing was replaced.
         done = done.withColumn(
             "n_chars",
-            F.when(F.size("__entities") > 0, F.char_length("text").cast("bigint")).otherwise(
+            F.when(F.size(entities) > 0, F.char_length("text").cast("bigint")).otherwise(
                 F.col("n_chars")
             ),
         )
     return done.select(
         *columns,
         F.transform(
-            F.coalesce(F.col("__entities"), F.array().cast("array<string>")), entity_kind
+            F.coalesce(F.col(entities), F.array().cast("array<string>")), entity_kind
         ).alias("entity_kinds"),
     )

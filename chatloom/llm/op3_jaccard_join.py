@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import materialize
+from chatloom.llm.common import fresh, materialize
 from chatloom.llm.components import connected_components
 from chatloom.llm.shingles import jaccard, shingle_set
 from chatloom.operators.skew import SALTS, lookup
@@ -384,26 +384,31 @@ def representatives(docs: DataFrame, **settings) -> DataFrame:
 
     The rows that go are joined to ``docs``, broadcast up to ``BROADCAST_NODES`` of them.
     """
+    names = docs.columns
+    own_id, own_key, mark_id, mark_key, stays = (
+        fresh(name, names) for name in ("own_id", "own_key", "mark_id", "mark_key", "stays")
+    )
     marks, seen = materialize_and_measure(
         _classed_rows(docs, **settings)
         .groupBy("doc_id", "key")
-        .agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("times"))
-        .where(~F.col("kept") | (F.col("times") > 1))
-        .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "kept"),
+        .agg(F.bool_and("kept").alias(stays), F.count(F.lit(1)).alias("times"))
+        .where(~F.col(stays) | (F.col("times") > 1))
+        .select(F.col("doc_id").alias(mark_id), F.col("key").alias(mark_key), stays),
         "forest-marks",
         rows=F.count(F.lit(1)),
-        again=F.count_if("kept"),
+        again=F.count_if(stays),
     )
     if seen["rows"] <= settings.get("broadcast_nodes", BROADCAST_NODES):
         marks = F.broadcast(marks)
-    same = F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
     marked = docs.withColumns(
-        {"_of": F.col("doc_id").cast("bigint"), "_text_key": text_key(F.col("text"))}
-    ).join(marks, same, "left")
-    result = marked.where(F.col("kept").isNull())
+        {own_id: F.col("doc_id").cast("bigint"), own_key: text_key(F.col("text"))}
+    ).join(
+        marks,
+        F.col(own_id).eqNullSafe(F.col(mark_id)) & (F.col(own_key) == F.col(mark_key)),
+        "left",
+    )
+    result = marked.where(F.col(stays).isNull())
     if seen["again"]:
         # A row that is there several times stays once.
-        result = result.unionByName(
-            marked.where(F.col("kept")).dropDuplicates(["_of", "_text_key"])
-        )
-    return result.select(*docs.columns)
+        result = result.unionByName(marked.where(stays).dropDuplicates([own_id, own_key]))
+    return result.select(*names)

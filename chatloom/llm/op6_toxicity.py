@@ -22,10 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import fresh
+
 # Labelled rows that the classifier is fitted on at most, give or take the chance of the hash.
 SAMPLE_ROWS = 20_000
 FOLDS = 5
@@ -150,39 +153,38 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
     return inside["place"].to_numpy(np.int32), inside["weight"].to_numpy(), bias
 
 
-def score(docs: DataFrame, model: tuple, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every row and its ``_score``; ``keep`` may hold ``text``."""
+def score(docs: DataFrame, model: tuple, keep: tuple[str, ...], name: str) -> DataFrame:
+    """The columns ``keep`` of every row and its score as column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [name for name in keep if name != "text"]
-    narrow = docs.select(*columns, "text")
-    fields = ", ".join(
-        f"`{name}` {kind}" for name, kind in narrow.select(*keep).dtypes
-    )
+    narrow = docs.select(*keep, F.col("text").alias(fresh("scored_text", keep)))
+    fields = ", ".join(f"`{column}` {kind}" for column, kind in narrow.dtypes[:-1])
+    names = [*keep, name]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, weights, bias = shared.value
         dense = np.zeros(1 << HASH_BITS, dtype=np.float64)
         dense[places] = weights
-        for frame in frames:
-            sums = np.array([dense[features(text)].sum() for text in frame["text"]], dtype=float)
-            out = frame[list(keep)].copy()
-            out["_score"] = 1.0 / (1.0 + np.exp(-np.clip(sums + bias, -35, 35)))
-            yield out
+        for batch in batches:
+            *kept, texts = batch.columns
+            sums = np.array([dense[features(text.as_py())].sum() for text in texts], dtype=float)
+            scores = 1.0 / (1.0 + np.exp(-np.clip(sums + bias, -35, 35)))
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names)
 
-    return narrow.mapInPandas(run, f"{fields}, _score double")
+    return narrow.mapInArrow(run, f"{fields}, `{name}` double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score(docs, train(docs, labels))
+    scored = score(docs, train(docs, labels), ("doc_id",), "score")
     return scored.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score stays below the threshold."""
-    scored = score(docs, train(docs, labels), keep=tuple(docs.columns))
-    return scored.where(F.col("_score") < threshold).drop("_score")
+    name = fresh("score", docs.columns)
+    scored = score(docs, train(docs, labels), tuple(docs.columns), name)
+    return scored.where(F.col(name) < threshold).select(*docs.columns)

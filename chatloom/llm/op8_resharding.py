@@ -106,6 +106,25 @@ def min_cost_flow(
     return {pair: amount for pair, amount in flow.items() if amount}
 
 
+def equal_capacities(blocks: Sequence[tuple[int, int, int]], shards: int) -> list[int]:
+    """Equal bytes for all shards, but for those that one very large block fills alone."""
+    capacities: dict[int, int] = {}
+    rest = sum(size for _, _, size in blocks)
+    for old, _, size in sorted(blocks, key=lambda block: -block[2]):
+        left = shards - len(capacities)
+        if left <= 1 or size * left <= rest:
+            break
+        place = old if old < shards and old not in capacities else next(
+            shard for shard in range(shards) if shard not in capacities
+        )
+        capacities[place] = size
+        rest -= size
+    open_shards = [shard for shard in range(shards) if shard not in capacities]
+    for at, shard in enumerate(open_shards):
+        capacities[shard] = rest // len(open_shards) + (at < rest % len(open_shards))
+    return [capacities[shard] for shard in range(shards)]
+
+
 def assign_blocks(
     blocks: Sequence[tuple[int, int, int]], flow: dict[tuple[int, int], int],
     capacities: Sequence[int],
@@ -183,9 +202,8 @@ def reshard(
     old_sizes = [0] * olds
     for old, _, size, _ in found:
         old_sizes[old] += size
-    total = sum(old_sizes)
     if capacities is None:
-        capacities = [total // shards + (shard < total % shards) for shard in range(shards)]
+        capacities = equal_capacities([block[:3] for block in found], shards)
     flow = min_cost_flow(old_sizes, capacities, cost)
     placed = assign_blocks([block[:3] for block in found], flow, capacities)
 
