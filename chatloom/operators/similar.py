@@ -1,25 +1,28 @@
-"""Nearest earlier neighbour by cosine similarity: an exact, blocked self-join.
+"""Nearest earlier neighbour by cosine similarity: an exact, blocked join.
 
 For every row the join finds the earlier row (smaller index) with the highest dot product, if that
 reaches the threshold. All earlier rows count, also removed ones; equal scores go to the smallest
-index.
+index. ``nearest_between`` does the same from one set of rows to another.
 
 How the work is spread
 ----------------------
-* Rows with identical vectors collapse to the first of them; its copies match it directly.
-* The rest is partitioned around pivot rows. A row lives at its most similar pivot. It is also sent
-  to another pivot's partition only if it lies so close to the plane between the two pivots that a
-  row behind the plane could reach the threshold. This loses no pair, and each pair of partitions is
-  visited in one direction only.
-* Partitions are cut into tiles of bounded size, and pairs of tiles are the tasks' unit of work, so
-  a partition that holds a large part of the rows becomes many units.
-* A unit is one matrix product. It emits at most one candidate per row, never the pairs; a partial
-  aggregation keeps the best candidate.
+* Of rows with identical vectors only the first is offered as a match; all of them look for one.
+  That holds for vectors of any length, because equal vectors have equal scores with every row.
+* Rows live at the most similar of some pivot rows. Partitions are cut into tiles of bounded size,
+  and consecutive tiles form groups. Each pair of groups is a cell, and a row is sent to the cells of
+  its group: about sqrt(2 * cells) copies, whatever the data look like, unless memory asks for more
+  groups.
+* The largest angle between a partition's rows and its pivot bounds the score of every pair of
+  partitions. Cells without a pair that could reach the threshold are left out, and inside a cell
+  the same test with the tiles' own centres decides which tiles are multiplied.
+* A cell holds one group and streams the other. It emits at most one candidate per row, never the
+  pairs; a partial aggregation keeps the best candidate.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.operators.exact import drop_rows, exact_copies
-from chatloom.operators.vectors import VectorProfile, squared_norm
+from chatloom.operators.exact import exact_copies
+from chatloom.operators.vectors import VectorProfile
 from chatloom.scratch import materialize
 
 SEMANTIC_REASON = "semantic_duplicate"  # fixed value
@@ -40,20 +43,16 @@ _MATCH_FIELDS = [
     ("similarity", pa.float64()),
 ]
 
-# Bounds that hold for any input size: bytes of vectors in one tile, bytes of all pivots (they are
-# broadcast), number of pivots.
+# Bounds that hold for any input size: bytes of vectors in one tile and in one group of tiles, bytes
+# of all pivots (they are broadcast), number of pivots and of groups.
 TILE_BYTES = 32 << 20
+GROUP_BYTES = 128 << 20
 PIVOT_BYTES = 16 << 20
 MAX_PIVOTS = 2048
 
-# Up to this many tiles every tile meets every other; partitioning pays only beyond.
-GRID_TILES = 16
-
 MIN_TILE_ROWS = 256
 ROWS_PER_PRODUCT = 512
-
-# Norms within this distance of each other: a vector's own dot product is its largest.
-EQUAL_NORMS = 1e-6
+CELLS_PER_CORE = 4
 
 # Slack for rounding in the pruning test, and digits at which two scores count as equal.
 PRUNING_SLACK = 1e-6
@@ -65,23 +64,23 @@ class Tiling:
     rows: int
     tile_rows: int
     pivots: int
+    groups: int
 
 
 def plan_tiling(
-    rows: int,
-    dimension: int,
-    parallelism: int,
-    requested_rows: int | None = None,
-    grid_tiles: int = GRID_TILES,
+    rows: int, dimension: int, parallelism: int, requested_rows: int | None = None
 ) -> Tiling:
-    """Tiles small enough to give every core several tile pairs and to fit the byte bound."""
-    largest = max(1, TILE_BYTES // (4 * max(dimension, 1)))
-    # About eight tile pairs per core, because they spread over the tasks by hash.
-    for_all_cores = math.ceil(rows / math.ceil(4 * math.sqrt(parallelism)))
-    tile_rows = min(largest, requested_rows or max(MIN_TILE_ROWS, for_all_cores))
-    tiles = math.ceil(rows / tile_rows)
-    most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // (4 * max(dimension, 1))))
-    return Tiling(rows, tile_rows, 1 if tiles <= grid_tiles else min(most_pivots, tiles))
+    """Tiles and groups that give every core some cells and fit the byte bounds."""
+    width = 4 * max(dimension, 1)
+    wanted = math.ceil(math.sqrt(2 * CELLS_PER_CORE * parallelism))
+    for_all_cores = math.ceil(rows / (2 * wanted))
+    tile_rows = min(
+        max(1, TILE_BYTES // width), requested_rows or max(MIN_TILE_ROWS, for_all_cores)
+    )
+    tiles = max(1, math.ceil(rows / tile_rows))
+    most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // width))
+    groups = min(tiles, max(wanted, math.ceil(rows * width / GROUP_BYTES)))
+    return Tiling(rows, tile_rows, min(most_pivots, tiles), groups)
 
 
 def nearest_earlier(
@@ -93,28 +92,64 @@ def nearest_earlier(
     vector: str = "embedding",
     chunk_rows: int = ROWS_PER_PRODUCT,
     tile_rows: int | None = None,
-    grid_tiles: int = GRID_TILES,
 ) -> DataFrame:
     """``duplicate_index, matched_index, similarity`` of every row with a close earlier row.
 
-    ``vectors`` must be materialized and checked, with norms as ``profile`` says. The last three
+    ``vectors`` must be materialized and checked, with norms as ``profile`` says. The last two
     parameters spread the work and do not change the result.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(index).alias("id"), F.col(vector).alias("vec"))
-    copies, n_copies = None, 0
-    if profile.max_norm - profile.min_norm <= EQUAL_NORMS:
-        copies, n_copies = _identical(rows)
+    offered = F.lit(True)
+    copies, n_copies = _identical(rows)
     if n_copies:
-        copies = materialize(copies, "identical")
-        rows = drop_rows(rows, copies, "id")
-    cores = spark.sparkContext.defaultParallelism
-    tiling = plan_tiling(profile.n_rows - n_copies, profile.dimension, cores, tile_rows, grid_tiles)
+        later = materialize(copies.select("id", F.lit(True).alias("later")), "identical")
+        rows = rows.join(later, "id", "left")
+        offered = F.col("later").isNull()
+    flagged = rows.select("id", "vec", F.lit(True).alias("asks"), offered.alias("offered"))
+    return _best_matches(flagged, profile, threshold, True, chunk_rows, tile_rows)
+
+
+def nearest_between(
+    asking: DataFrame,
+    offered: DataFrame,
+    profile: VectorProfile,
+    threshold: float,
+    *,
+    index: str = "row_index",
+    vector: str = "embedding",
+    chunk_rows: int = ROWS_PER_PRODUCT,
+    tile_rows: int | None = None,
+) -> DataFrame:
+    """The same from the rows of ``asking`` to their best match in ``offered``, in any order.
+
+    ``profile`` covers both sides.
+    """
+    sides = [
+        rows.select(
+            F.col(index).alias("id"),
+            F.col(vector).alias("vec"),
+            F.lit(asks).alias("asks"),
+            F.lit(not asks).alias("offered"),
+        )
+        for rows, asks in ((asking, True), (offered, False))
+    ]
+    both = sides[0].unionByName(sides[1])
+    return _best_matches(both, profile, threshold, False, chunk_rows, tile_rows)
+
+
+def _best_matches(
+    flagged: DataFrame, profile: VectorProfile, threshold: float, earlier: bool, chunk_rows: int,
+    tile_rows: int | None,
+) -> DataFrame:
+    cores = flagged.sparkSession.sparkContext.defaultParallelism
+    tiling = plan_tiling(profile.n_rows, profile.dimension, cores, tile_rows)
+    cosine = min(1.0, threshold / profile.max_norm**2) - PRUNING_SLACK
+    dealt = shipped(flagged, tiling, cosine)
     best = F.max(F.struct(F.col("similarity"), (-F.col("matched_index")).alias("_earliest")))
-    matches = (
-        _units(rows, tiling, profile, threshold)
-        .groupBy("partition", "left", "right")
-        .applyInArrow(_compare_tiles(threshold, chunk_rows), MATCH_SCHEMA)
+    return (
+        dealt.mapInArrow(
+            lambda batches: _compare(batches, threshold, cosine, earlier, chunk_rows), MATCH_SCHEMA
+        )
         .groupBy("duplicate_index")
         .agg(best.alias("best"))
         .select(
@@ -123,151 +158,119 @@ def nearest_earlier(
             F.col("best.similarity").alias("similarity"),
         )
     )
-    if not n_copies:
-        return matches
-    of_copies = copies.where(F.col("similarity") >= threshold).select(
-        F.col("id").alias("duplicate_index"),
-        F.col("retained").alias("matched_index"),
-        F.round("similarity", SCORE_DIGITS).alias("similarity"),
-    )
-    return matches.unionByName(of_copies)
 
 
 def _identical(rows: DataFrame) -> tuple[DataFrame, int]:
-    """(id, retained, similarity) of rows whose vector an earlier row has, too, and their number.
+    """Rows whose vector an earlier row has, too, and their number.
 
     The key is two 64-bit hashes with different seeds; the vectors themselves are not shuffled.
     """
     hashes = F.concat_ws("-", F.hex(F.xxhash64("vec")), F.hex(F.xxhash64(F.lit(1), "vec")))
-    keyed = rows.select("id", hashes.alias("key"), squared_norm(F.col("vec")).alias("similarity"))
-    copies, n_copies = exact_copies(keyed, "id")
-    return copies.drop("key"), n_copies
+    return exact_copies(rows.select("id", hashes.alias("key")), "id")
 
 
-def _route(
-    rows: DataFrame, tiling: Tiling, profile: VectorProfile, threshold: float
-) -> DataFrame:
-    """Add the home partition and the other partitions whose rows may reach the threshold."""
-    # At most PIVOT_BYTES come to the driver. Any choice gives the same result; hash order follows
-    # the density of the data, so a dense region gets many pivots. The filter leaves a few times as
-    # many candidates as needed, so that their ordering stays small, too.
+def _pivots(rows: DataFrame, tiling: Tiling) -> np.ndarray:
+    """Unit rows, at most PIVOT_BYTES. Any choice gives the same result; hash order follows the
+    density of the data, so a dense region gets many pivots."""
+    # The filter leaves a few times as many candidates as needed, so that their ordering stays small.
     every = max(1, tiling.rows // (4 * tiling.pivots))
     candidates = rows.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
     chosen = candidates.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(tiling.pivots)
-    chosen = chosen.select("vec").collect()
-    pivots = np.array([row.vec for row in chosen], dtype=np.float64)
-    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-    reach = reach_of(threshold, profile.max_norm)
-
-    @F.arrow_udf("struct<home:int,away:array<int>>")
+    pivots = np.array([row.vec for row in chosen.select("vec").collect()], dtype=np.float64)
+    if not len(pivots):
+        return np.zeros((1, 1))
+    return pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
+
+
+def group_pairs(
+    homes: np.ndarray, pivots: np.ndarray, radii: np.ndarray, cosine: float, groups: int
+) -> np.ndarray:
+    """Which groups may hold rows that reach the cosine: ``homes`` lists (group, partition) pairs."""
+    angles = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
+    nearest = np.maximum(0.0, angles - radii[:, None] - radii[None, :])
+    close = np.cos(nearest) >= cosine
+    member = np.zeros((groups, len(pivots)), dtype=np.float32)
+    member[homes[:, 0], homes[:, 1]] = 1.0
+    return (member @ close.astype(np.float32) @ member.T) > 0
+
+
+def shipped(flagged: DataFrame, tiling: Tiling, cosine: float) -> DataFrame:
+    """One row per (cell, vector), sorted by cell, side and tile."""
+    spark = flagged.sparkSession
+    pivots = _pivots(flagged, tiling)
+    shared = spark.sparkContext.broadcast(pivots)
+
+    @F.arrow_udf("struct<home:int,lean:double>")
     def place(vectors: pa.Array) -> pa.Array:
-        homes, away = nearby(_matrix(vectors), shared.value, reach)
-        return pa.StructArray.from_arrays([homes, away], ["home", "away"])
-
-    return rows.withColumn("place", place("vec")).select("id", "vec", "place.*")
-
-
-def reach_of(threshold: float, max_norm: float) -> float:
-    """Distance from a plane through the origin up to which a row can have a match behind it.
-
-    A row behind the plane is at least as far away, in angle, as the plane itself.
-    """
-    cosine = min(1.0, threshold / max_norm**2)
-    return max_norm * math.sqrt(1.0 - cosine**2) + PRUNING_SLACK
-
-
-def nearby(matrix: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[pa.Array, pa.Array]:
-    """Home partition of each row, and the other partitions it has to visit."""
-    count = len(pivots)
-    squares = (pivots**2).sum(axis=1)
-    gaps = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * pivots @ pivots.T, 0.0))
-    here, there = np.indices((count, count))
-    # Of each two partitions one sends and the other receives, evenly in both directions.
-    sends = ((here + there) % 2 == 1) == (here < there)
-    np.fill_diagonal(sends, False)
-    homes, targets, lengths = [], [], []
-    for start in range(0, len(matrix), ROWS_PER_PRODUCT):
-        scores = matrix[start : start + ROWS_PER_PRODUCT] @ pivots.T
-        home = scores.argmax(axis=1)
-        lead = scores[np.arange(len(scores)), home][:, None] - scores
-        close = sends[home] & (lead <= reach * gaps[home] + PRUNING_SLACK)
-        homes.append(home.astype(np.int32))
-        targets.append(np.nonzero(close)[1].astype(np.int32))
-        lengths.append(close.sum(axis=1))
-    if not homes:
-        return pa.array([], pa.int32()), pa.array([], pa.list_(pa.int32()))
-    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int32)
-    away = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(targets)))
-    return pa.array(np.concatenate(homes)), away
-
-
-def _units(
-    rows: DataFrame, tiling: Tiling, profile: VectorProfile, threshold: float
-) -> DataFrame:
-    """One row per (tile pair, vector); the copies are made on the JVM side, next to the shuffle."""
-    if tiling.pivots == 1:
-        tiles = max(1, math.ceil(tiling.rows / tiling.tile_rows))
-        return _pair_tiles(
-            rows.select(
-                F.lit(0).alias("partition"),
-                F.lit(True).alias("lives"),
-                F.lit(tiles).alias("own"),
-                F.lit(0).alias("visiting"),
-                "id",
-                "vec",
-            )
-        )
-    routed = materialize(_route(rows, tiling, profile, threshold), "routed")
-    places = F.concat(
-        F.array(F.struct(F.col("home").alias("partition"), F.lit(True).alias("lives"))),
-        F.transform("away", lambda p: F.struct(p.alias("partition"), F.lit(False).alias("lives"))),
+        homes, leans = nearest_pivot(_matrix(vectors), shared.value)
+        return pa.StructArray.from_arrays([pa.array(homes), pa.array(leans)], ["home", "lean"])
+
+    routed = materialize(
+        flagged.withColumn("place", place("vec")).select(
+            "id", "vec", "asks", "offered", "place.home", "place.lean"
+        ),
+        "routed",
     )
-    sizes = (
-        routed.select(F.explode(places).alias("place"))
-        .groupBy("place.partition")
-        .agg(
-            F.count_if(F.col("place.lives")).alias("lives"),
-            F.count_if(~F.col("place.lives")).alias("visits"),
-        )
-        .collect()
+    # At most MAX_PIVOTS rows.
+    sizes = sorted(
+        tuple(row)
+        for row in routed.groupBy("home").agg(F.count(F.lit(1)), F.min("lean")).collect()
     )
-    # At most MAX_PIVOTS rows. A partition in which no row lives has nothing to be compared with.
-    shapes = [
-        (
-            row.partition,
-            math.ceil(row.lives / tiling.tile_rows),
-            math.ceil(row.visits / tiling.tile_rows),
-        )
-        for row in sizes
-        if row.lives
-    ]
-    tiles = rows.sparkSession.createDataFrame(shapes, "partition int, own int, visiting int")
-    placed = routed.select("id", "vec", F.explode(places).alias("place"))
-    return _pair_tiles(placed.select("id", "vec", "place.*").join(F.broadcast(tiles), "partition"))
-
-
-def _pair_tiles(placed: DataFrame) -> DataFrame:
-    hashed = F.xxhash64("id")
-    tile = F.when(F.col("lives"), F.pmod(hashed, F.col("own"))).otherwise(
-        F.col("own") + F.pmod(hashed, F.col("visiting"))
+    radii = np.zeros(len(pivots))
+    tiles, total = [], 0
+    for home, rows, lean in sizes:
+        radii[home] = math.acos(max(-1.0, min(1.0, lean))) + PRUNING_SLACK
+        count = math.ceil(rows / tiling.tile_rows)
+        tiles.append((home, total, count))
+        total += count
+    groups = max(1, min(tiling.groups, total))
+    homes = np.array(
+        [(tile * groups // total, home) for home, first, count in tiles for tile in range(first, first + count)]
+    ).reshape(-1, 2)
+    close = group_pairs(homes, pivots, radii, cosine, groups) if len(homes) else np.eye(1)
+    partners = [(group, np.flatnonzero(close[group]).tolist()) for group in range(groups)]
+    places = spark.createDataFrame(tiles, "home int, first long, tiles int")
+    # At most one number for each pair of groups.
+    cells = spark.createDataFrame(partners, "group int, partners array<int>")
+    tile = F.col("first") + F.pmod(F.xxhash64("id"), F.col("tiles"))
+    placed = (
+        routed.join(F.broadcast(places), "home")
+        .withColumn("tile", tile)
+        .withColumn("group", F.floor(F.col("tile") * groups / max(1, total)).cast("int"))
+        .join(F.broadcast(cells), "group")
+        .withColumn("partner", F.explode("partners"))
     )
-    # Own tiles meet all tiles, visiting tiles meet the own ones only.
-    partners = F.when(F.col("lives"), F.col("own") + F.col("visiting")).otherwise(F.col("own"))
+    n_cells = int(np.triu(close).sum())
     return (
-        placed.withColumn("tile", tile.cast("int"))
-        .withColumn("_partner", F.explode(F.sequence(F.lit(0), partners - 1)))
-        .select(
-            "partition",
-            F.least("tile", "_partner").alias("left"),
-            F.greatest("tile", "_partner").alias("right"),
+        placed.select(
+            F.least("group", "partner").alias("low"),
+            F.greatest("group", "partner").alias("high"),
+            (F.col("group") > F.col("partner")).alias("right"),
             "tile",
             "id",
+            "asks",
+            "offered",
             "vec",
         )
+        .repartition(max(1, n_cells), "low", "high")
+        .sortWithinPartitions("low", "high", "right", "tile", "id")
     )
 
 
+def nearest_pivot(matrix: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the most similar pivot of each row, and the cosine with it."""
+    homes = np.zeros(len(matrix), dtype=np.int32)
+    leans = np.zeros(len(matrix))
+    for start in range(0, len(matrix), ROWS_PER_PRODUCT):
+        rows = matrix[start : start + ROWS_PER_PRODUCT]
+        scores = rows @ pivots.T
+        home = scores.argmax(axis=1)
+        homes[start : start + len(rows)] = home
+        lengths = np.linalg.norm(rows, axis=1)
+        leans[start : start + len(rows)] = scores[np.arange(len(rows)), home] / lengths
+    return homes, leans
+
+
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
@@ -275,58 +278,120 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.empty((0, 0))
 
 
-def _compare_tiles(threshold: float, chunk_rows: int):
-    """The work on one tile pair: the best earlier partner of each row, if it is close enough."""
+class _Tile:
+    """Rows of one tile in order of id, the best match of each so far, centre and radius."""
+
+    def __init__(self, parts: list[tuple]) -> None:
+        self.ids, self.asks, self.offered = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        self.matrix = np.concatenate([part[3] for part in parts])
+        self.best = np.full(len(self.ids), -np.inf)
+        self.partner = np.zeros(len(self.ids), dtype=np.int64)
+        unit = self.matrix / np.linalg.norm(self.matrix, axis=1, keepdims=True)
+        centre = unit.sum(axis=0)
+        length = np.linalg.norm(centre)
+        self.centre = centre / length if length > 1e-9 else unit[0]
+        self.radius = float(np.arccos(np.clip((unit @ self.centre).min(), -1, 1))) + PRUNING_SLACK
+
+    def may_reach(self, other: _Tile, cosine: float) -> bool:
+        angle = math.acos(max(-1.0, min(1.0, float(self.centre @ other.centre))))
+        return math.cos(max(0.0, angle - self.radius - other.radius)) >= cosine
+
+    def take(self, rows: np.ndarray, partners: np.ndarray, scores: np.ndarray) -> None:
+        """Better matches win, and of equal ones the earlier."""
+        tie = 0.5 * 10.0**-SCORE_DIGITS
+        known, at = self.best[rows], self.partner[rows]
+        better = (scores > known + tie) | ((scores >= known - tie) & (partners < at))
+        rows = rows[better]
+        self.best[rows], self.partner[rows] = scores[better], partners[better]
+
+
+def _meet(one: _Tile, two: _Tile, threshold: float, earlier: bool, chunk_rows: int) -> None:
+    """Update the best matches of both tiles (of one, if they are the same) from their product."""
+    same = one is two
+    columns = two.matrix.T
     tie = 0.5 * 10.0**-SCORE_DIGITS
-
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
-        ids = table["id"].to_numpy()
-        order = np.argsort(ids)
-        ids, tile = ids[order], table["tile"].to_numpy()[order]
-        matrix = _matrix(table["vec"])[order]
-        one_tile = key[1].as_py() == key[2].as_py()
-        first = tile == key[1].as_py()
-        second = first if one_tile else ~first
-        if not (first.any() and second.any()):
-            return pa.schema(_MATCH_FIELDS).empty_table()
-        rows, row_ids = matrix[first], ids[first]
-        columns, column_ids = matrix[second].T, ids[second]
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        best = np.full(len(column_ids), -np.inf)
-        partner = np.zeros(len(column_ids), dtype=np.int64)
-        for start in range(0, len(rows), chunk_rows):
-            scores = rows[start : start + chunk_rows] @ columns
-            # Only rows and columns with a close partner go on; mostly these are few.
-            near = np.flatnonzero(scores.max(axis=1) >= threshold)
-            scores = scores[near]
-            across = np.flatnonzero(scores.max(axis=0, initial=-np.inf) >= threshold)
-            if not across.size:
-                continue
-            scores = scores[:, across]
-            some, others = row_ids[start + near], column_ids[across]
-            earlier = others[None, :] < some[:, None]
-            # ids ascend on both axes, so the first score within the tie width is the earliest row.
-            backward = np.where(earlier, scores, -np.inf)
-            top = backward.max(axis=1)
-            hit = np.flatnonzero(top >= threshold)
-            match = (backward[hit] >= top[hit, None] - tie).argmax(axis=1)
-            found.append((some[hit], others[match], top[hit]))
-            if one_tile:
-                continue
-            forward = np.where(earlier, -np.inf, scores)
-            top = forward.max(axis=0)
-            better = np.flatnonzero((top >= threshold) & (top > best[across] + tie))
-            match = (forward[:, better] >= top[better] - tie).argmax(axis=0)
-            best[across[better]], partner[across[better]] = top[better], some[match]
-        hit = np.flatnonzero(best >= threshold)
-        found.append((column_ids[hit], partner[hit], best[hit]))
-        duplicate, matched, score = (np.concatenate(part) for part in zip(*found))
-        return pa.table(
-            {
-                "duplicate_index": duplicate,
-                "matched_index": matched,
-                "similarity": np.round(score, SCORE_DIGITS),
-            }
+    for start in range(0, len(one.ids), chunk_rows):
+        scores = one.matrix[start : start + chunk_rows] @ columns
+        # Only rows and columns with a close partner go on; mostly these are few.
+        near = np.flatnonzero(scores.max(axis=1) >= threshold)
+        scores = scores[near]
+        across = np.flatnonzero(scores.max(axis=0, initial=-np.inf) >= threshold)
+        if not across.size:
+            continue
+        scores, rows = scores[:, across], start + near
+        ids, others = one.ids[rows], two.ids[across]
+        before = others[None, :] < ids[:, None] if earlier else np.ones(scores.shape, dtype=bool)
+        allowed = before & one.asks[rows][:, None] & two.offered[across][None, :]
+        backward = np.where(allowed, scores, -np.inf)
+        top = backward.max(axis=1)
+        hit = np.flatnonzero(top >= threshold)
+        # ids ascend on both axes, so the first score within the tie width is the earliest row.
+        match = (backward[hit] >= top[hit, None] - tie).argmax(axis=1)
+        one.take(rows[hit], others[match], top[hit])
+        if same:
+            continue
+        after = ids[:, None] < others[None, :] if earlier else np.ones(scores.shape, dtype=bool)
+        allowed = after & two.asks[across][None, :] & one.offered[rows][:, None]
+        forward = np.where(allowed, scores, -np.inf)
+        top = forward.max(axis=0)
+        hit = np.flatnonzero(top >= threshold)
+        match = (forward[:, hit] >= top[hit] - tie).argmax(axis=0)
+        two.take(across[hit], ids[match], top[hit])
+
+
+def _compare(
+    batches: Iterator[pa.RecordBatch], threshold: float, cosine: float, earlier: bool,
+    chunk_rows: int,
+) -> Iterator[pa.RecordBatch]:
+    """The cells of a sorted partition: the left group is held, the right one streams past."""
+
+    def found(tiles: list[_Tile]) -> pa.RecordBatch:
+        hits = [np.flatnonzero(tile.best >= threshold) for tile in tiles]
+        ids, partners, scores = (
+            np.concatenate([getattr(t, name)[h] for t, h in zip(tiles, hits, strict=True)])
+            for name in ("ids", "partner", "best")
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.array(partners), pa.array(np.round(scores, SCORE_DIGITS))],
+            [name for name, _ in _MATCH_FIELDS],
         )
 
-    return compare
+    cell, held = None, []
+    for low, high, right, tile in _tiles(batches):
+        if (low, high) != cell:
+            if held:
+                yield found(held)
+            cell, held = (low, high), []
+        for other in held:
+            if other.may_reach(tile, cosine):
+                _meet(other, tile, threshold, earlier, chunk_rows)
+        if low == high:
+            _meet(tile, tile, threshold, earlier, chunk_rows)
+        if right:
+            yield found([tile])
+        else:
+            held.append(tile)
+    if held:
+        yield found(held)
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool, _Tile]]:
+    """The tiles of a sorted partition; a tile may begin in one batch and end in another."""
+    current, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
+        ids = batch.column(4).to_numpy(zero_copy_only=False)
+        asks, offered = (batch.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
+        matrix = _matrix(batch.column(7))
+        changes = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        for start, end in zip([0, *changes], [*changes, len(ids)], strict=True):
+            name = tuple(int(part) for part in names[start])
+            if name != current:
+                if parts:
+                    yield current[0], current[1], bool(current[2]), _Tile(parts)
+                current, parts = name, []
+            parts.append((ids[start:end], asks[start:end], offered[start:end], matrix[start:end]))
+    if parts:
+        yield current[0], current[1], bool(current[2]), _Tile(parts)

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.anchors import resolve_anchors
 from chatloom.operators.removal import match_log, removal_details
-from chatloom.operators.similar import nearest_earlier, nearby, plan_tiling, reach_of
+from chatloom.operators.similar import (
+    group_pairs,
+    nearest_between,
+    nearest_earlier,
+    nearest_pivot,
+    plan_tiling,
+    shipped,
+)
 from chatloom.operators.vectors import (
     attach_vectors,
     normalize,
@@ -70,7 +77,7 @@ def clustered(rows=400, dimension=8, seed=3):
 
 @pytest.mark.parametrize("threshold", [0.3, 0.92, 0.999])
 @pytest.mark.parametrize(
-    "spread", [{}, {"tile_rows": 9, "grid_tiles": 1}, {"tile_rows": 50, "chunk_rows": 7}]
+    "spread", [{}, {"tile_rows": 9}, {"tile_rows": 50, "chunk_rows": 7}]
 )
 def test_result_does_not_depend_on_how_work_is_spread(spark, threshold, spread):
     matrix = clustered()
@@ -82,14 +89,14 @@ def test_indexes_need_not_be_dense(spark):
     matrix = clustered(60)
     ids = np.random.default_rng(0).permutation(10_000)[:60]
     vectors = frame(spark, matrix, ids)
-    assert computed(vectors, 0.9, tile_rows=8, grid_tiles=1) == expected(matrix, 0.9, ids)
+    assert computed(vectors, 0.9, tile_rows=8) == expected(matrix, 0.9, ids)
 
 
 def test_many_identical_vectors(spark):
     rng = np.random.default_rng(2)
     base = clustered(40)
     matrix = base[np.where(rng.random(300) < 0.4, 0, rng.integers(0, 40, 300))]
-    for spread in ({}, {"tile_rows": 5, "grid_tiles": 1}):
+    for spread in ({}, {"tile_rows": 5}):
         assert computed(frame(spark, matrix), 0.9, **spread) == expected(matrix, 0.9)
 
 
@@ -99,7 +106,7 @@ def test_vectors_close_to_unit_length_are_used_as_they_are(spark):
     matrix[50:60] = matrix[40:50]
     vectors = frame(spark, matrix)
     assert not profile_vectors(vectors).off_unit
-    for spread in ({}, {"tile_rows": 7, "grid_tiles": 1}):
+    for spread in ({}, {"tile_rows": 7}):
         assert computed(vectors, 0.95, **spread) == expected(matrix, 0.95)
 
 
@@ -191,15 +198,53 @@ def test_details_with_hot_texts(spark):
             )
 
 
+def test_twins_of_unequal_length(spark):
+    v = unit(np.array([[0.6, 0.8]]))[0]
+    matrix = np.stack([v * np.float32(1 + 4e-7), v, v, v * np.float32(1 + 8e-7), v])
+    for threshold in (0.9, 1.0):
+        for tile_rows in (None, 1):
+            assert computed(frame(spark, matrix), threshold, tile_rows=tile_rows) == expected(
+                matrix, threshold
+            )
+
+
+def test_matches_between_two_sets(spark):
+    matrix = clustered(200)
+    asking, offered = frame(spark, matrix[:50]), frame(spark, matrix[50:])
+    both = profile_vectors(asking.unionByName(offered))
+    scores = np.round(matrix[50:].astype(np.float64) @ matrix[:50].astype(np.float64).T, 10)
+    wanted = {
+        i: (int(scores[:, i].argmax()), round(float(scores[:, i].max()), 6))
+        for i in range(50)
+        if scores[:, i].max() >= 0.9
+    }
+    for tile_rows in (None, 11):
+        found = nearest_between(asking, offered, both, 0.9, tile_rows=tile_rows).collect()
+        assert {r.duplicate_index: (r.matched_index, round(r.similarity, 6)) for r in found} == wanted
+
+
+def test_copies_per_vector_follow_the_root_of_the_cells(spark):
+    vectors = materialize(frame(spark, unit(np.random.default_rng(1).normal(size=(4000, 16)))), "v")
+    tiling = plan_tiling(4000, 16, spark.sparkContext.defaultParallelism)
+    flagged = vectors.select(
+        F.col("row_index").alias("id"), F.col("embedding").alias("vec"),
+        F.lit(True).alias("asks"), F.lit(True).alias("offered"),
+    )
+    copies = shipped(flagged, tiling, 0.1).groupBy("id").count().agg(F.max("count")).first()[0]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    assert copies <= 2 * tasks**0.5
+
+
 def test_tiles_are_bounded():
     for rows in (1, 10**4, 10**7, 10**11):
         for cores in (8, 8000):
             tiling = plan_tiling(rows, 768, cores)
             assert tiling.tile_rows * 768 * 4 <= 32 << 20
             assert 1 <= tiling.pivots <= 2048 and tiling.pivots * 768 * 4 <= 16 << 20
+            assert rows * 768 * 4 / tiling.groups <= 2 * (128 << 20)
 
 
-def test_every_close_pair_meets_in_exactly_one_partition():
+def test_every_close_pair_meets_in_a_cell():
     rng = np.random.default_rng(0)
     for trial in range(60):
         dimension, rows = int(rng.integers(2, 12)), int(rng.integers(20, 120))
@@ -207,10 +252,15 @@ def test_every_close_pair_meets_in_exactly_one_partition():
         matrix = unit(matrix).astype(np.float64) * rng.uniform(0.9995, 1.0005, (rows, 1))
         threshold = float(rng.choice([0.05, 0.3, 0.7, 0.92, 0.99, 0.9999, 1.0]))
         pivots = unit(matrix[rng.choice(rows, int(rng.integers(2, 20)), replace=False)])
-        pivots[-1] = pivots[0]
+        pivots = pivots.astype(np.float64)
+        pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
         longest = float(np.linalg.norm(matrix, axis=1).max())
-        homes, away = nearby(matrix, pivots.astype(np.float64), reach_of(threshold, longest))
-        homes, away = homes.to_numpy(), [set(targets) for targets in away.to_pylist()]
+        homes, leans = nearest_pivot(matrix, pivots)
+        radii = np.zeros(len(pivots))
+        for home, lean in zip(homes, leans):
+            radii[home] = max(radii[home], np.arccos(np.clip(lean, -1, 1)) + 1e-6)
+        pairs = np.array([(i, i) for i in range(len(pivots))])
+        cosine = min(1.0, threshold / longest**2) - 1e-6
+        close = group_pairs(pairs, pivots, radii, cosine, len(pivots))
         for i, j in zip(*np.nonzero(np.triu(matrix @ matrix.T >= threshold, 1))):
-            meetings = (homes[i] == homes[j]) + (homes[j] in away[i]) + (homes[i] in away[j])
-            assert meetings == 1
+            assert close[homes[i], homes[j]]
