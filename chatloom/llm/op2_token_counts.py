@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,16 @@ from chatloom.operators.skew import SALTS, lookup
 GROUP = ("source", "lang", "tokenizer")
 TOTALS = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
 _BATCH_ID = re.compile(r"[A-Za-z0-9._-]+\Z")
-_TEXTS_PER_CALL = 128
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = TOKENIZER_FILE) -> DataFrame:
     """``doc_id``, ``source``, ``lang``, the text's 128-bit ``key`` and its number of ``tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).id_bytes
+        encode = encoder(vocabulary).ids
         for batch in batches:
-            counts: list[int] = []
-            for at in range(0, batch.num_rows, _TEXTS_PER_CALL):
-                texts = [text or "" for text in batch.column(4).slice(at, _TEXTS_PER_CALL).to_pylist()]
-                counts += [len(data) // 2 for data in encode(texts)]
+            counts = [np.diff(ends, prepend=0) for _, ends in encode(batch.column(4))]
+            counts = np.concatenate(counts) if counts else np.empty(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(counts, pa.int64())],
                 ["doc_id", "source", "lang", "key", "tokens"],

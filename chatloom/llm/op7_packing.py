@@ -41,9 +41,6 @@ SCHEMA = (
 )
 _NAMES = [field.split()[0] for field in SCHEMA.split(", ")]
 
-# Texts of one call of the tokenizer.
-_TEXTS_PER_CALL = 128
-
 
 class _Shelf:
     """Items (document, start, length) by length, with the longest that fits found in one step."""
@@ -136,8 +133,8 @@ def _packed(
     batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, tiers: tuple[int, ...],
     buffer_tokens: int, step_tokens: int,
 ) -> Iterator[pa.RecordBatch]:
-    encode = encoder(vocabulary).id_bytes
-    end = np.array([end_id], dtype="<u2").tobytes()
+    encode = encoder(vocabulary).ids
+    end = np.array([end_id], dtype="<u2")
     base = TaskContext.get().partitionId() << 32
     ids: dict[int, np.ndarray] = {}
     names: dict[int, int | None] = {}
@@ -172,17 +169,16 @@ def _packed(
         )
 
     for batch in batches:
-        doc_ids, texts = batch.column(0), batch.column(1)
-        for at in range(0, batch.num_rows, _TEXTS_PER_CALL):
-            some = [text or "" for text in texts.slice(at, _TEXTS_PER_CALL).to_pylist()]
-            for doc_id, data in zip(
-                doc_ids.slice(at, _TEXTS_PER_CALL).to_pylist(), encode(some), strict=True
-            ):
-                array = np.frombuffer(data + end, dtype="<u2")
-                ids[documents], names[documents] = array, doc_id
+        doc_ids = iter(batch.column(0).to_pylist())
+        for all_ids, ends in encode(batch.column(1)):
+            start = 0
+            for stop in ends.tolist():
+                array = np.append(all_ids[start:stop], end)
+                ids[documents], names[documents] = array, next(doc_ids)
                 items.append((documents, len(array)))
                 documents += 1
                 held += len(array)
+                start = stop
             if held >= buffer_tokens:
                 yield emit(last=False)
     if items:

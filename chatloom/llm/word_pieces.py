@@ -10,29 +10,44 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 # Entries of each generation of a cache of a Python worker, some 200 bytes each. A full generation
 # becomes the older one, from which entries still in use are taken over, and the older one goes.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
 
 # Letters that normalization leaves alone and lower-casing maps to one letter of the same range.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-Þß-öø-þ]+)([.,;:!?]*)\Z")
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-Þß-öø-þ]+\Z")
+_MARKS = ".,;:!?"
+
+# Bytes of text that are put together at a time.
+_CALL_BYTES = 2 << 20
 
 _ENCODERS: dict[str, CachedEncoder] = {}
 
 
 class CachedEncoder:
-    """``ids(text)`` for one tokenizer file: the ids without special tokens, as uint16."""
+    """The ids of texts by one tokenizer file, without special tokens, as uint16."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
+        # For runs of lower-case letters the same model needs no normalization and no pattern.
+        self._letters = Tokenizer(self._tokenizer.model)
+        self._letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("this cache holds ids of 16 bits")
@@ -41,7 +56,6 @@ class CachedEncoder:
         self._ends_word = ends
         self._chunks: dict[str, bytes] = {"": b""}
         self._older: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {"": b""}
 
     def _encode(self, text: str) -> np.ndarray:
         encoded = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -49,64 +63,91 @@ class CachedEncoder:
 
     def _learn_words(self, words: list[str]) -> None:
         """Encode many words in one call; each ends with the one token that ends a word."""
-        ids = self._encode(" ".join(words))
+        known = self._chunks
+        encoded = self._letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.asarray(encoded.ids, dtype="<u2")
         ends = np.flatnonzero(self._ends_word[ids]) + 1
         if len(ends) != len(words):
             for word in words:
-                self._words[word] = self._encode(word).tobytes()
+                known[word] = self._encode(word).tobytes()
             return
-        data, start = ids.tobytes(), 0
-        for word, end in zip(words, (2 * ends).tolist(), strict=True):
-            self._words[word] = data[start:end]
-            start = end
-
-    def _learn_chunks(self, chunks: list[str]) -> None:
-        known, plain, others, wanted = self._chunks, [], [], set()
-        for chunk in chunks:
-            match = _PLAIN.match(chunk)
-            if match is None:
-                others.append(chunk)
-            else:
-                letters, marks = match.groups()
-                letters = letters.lower()
-                plain.append((chunk, letters, marks))
-                wanted.add(letters)
-                wanted.add(marks)
+        data, ends = ids.tobytes(), (2 * ends).tolist()
+        known.update(
+            zip(words, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True)
+        )
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Put chunks, and the words that they consist of, into the cache."""
+        known, older = self._chunks, self._older
+        bare = [chunk.rstrip(_MARKS) for chunk in chunks]
+        plain = [
+            word.isascii() and word.isalpha() or _PLAIN.match(word) is not None for word in bare
+        ]
+        others = [chunk for chunk, is_plain in zip(chunks, plain, strict=True) if not is_plain]
         if others:
             encoded = self._tokenizer.encode_batch_fast(others, add_special_tokens=False)
             for chunk, one in zip(others, encoded, strict=True):
                 known[chunk] = np.asarray(one.ids, dtype="<u2").tobytes()
-        missing = [word for word in wanted if word not in self._words]
+        words = [word.lower() if is_plain else "" for word, is_plain in zip(bare, plain, strict=True)]
+        missing = [word for word in set(words) if word not in known]
         if missing:
-            self._learn_words(missing)
-        words = self._words
-        for chunk, letters, marks in plain:
-            known[chunk] = words[letters] + words[marks] if marks else words[letters]
-
-    def id_bytes(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, little-endian uint16."""
+            new = [word for word in missing if word not in older]
+            if len(new) < len(missing):
+                known.update((word, older[word]) for word in missing if word in older)
+            if new:
+                self._learn_words(new)
+        for chunk, word, letters in zip(chunks, words, bare, strict=True):
+            if word and chunk is not word:
+                marks = chunk[len(letters) :]
+                if marks and marks not in known:
+                    known[marks] = self._encode(marks).tobytes()
+                known[chunk] = known[word] + known[marks] if marks else known[word]
+
+    def _known_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of different chunks, learned where they are new."""
         if len(self._chunks) > CACHE_ENTRIES:
             self._older, self._chunks = self._chunks, {"": b""}
-        if len(self._words) > 2 * CACHE_ENTRIES:
-            self._words = {"": b""}
-        split = [
-            text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            for text in texts
-        ]
-        chunks, older = self._chunks, self._older
-        unknown = set()
-        for parts in split:
-            unknown.update(parts)
-        unknown.difference_update(chunks)
-        if unknown:
-            fresh = []
-            for chunk in unknown:
-                if chunk in older:
-                    chunks[chunk] = older[chunk]
-                else:
-                    fresh.append(chunk)
-            self._learn_chunks(fresh)
-        return [b"".join([chunks[part] for part in parts]) for parts in split]
+        known, older = self._chunks, self._older
+        found = list(map(known.get, chunks))
+        missing = [place for place, ids in enumerate(found) if ids is None]
+        if missing:
+            unknown = [chunks[place] for place in missing]
+            fresh = [chunk for chunk in unknown if chunk not in older]
+            if len(fresh) < len(unknown):
+                known.update((chunk, older[chunk]) for chunk in unknown if chunk in older)
+            if fresh:
+                self._learn(fresh)
+            for place, chunk in zip(missing, unknown, strict=True):
+                found[place] = known[chunk]
+        return found
+
+    def ids(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of texts, some megabytes at a time, in order: (ids of all, ends of each).
+
+        Chunks are split and told apart by Arrow and put together by numpy; Python sees every
+        different chunk once. A null text has no ids.
+        """
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + _CALL_BYTES, "right")))
+            lists = pc.ascii_split_whitespace(texts.slice(start, stop - start))
+            encoded = lists.flatten().dictionary_encode()
+            pieces = self._known_ids(encoded.dictionary.to_pylist())
+            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 2
+            table = np.frombuffer(b"".join(pieces), dtype="<u2")
+            first = np.cumsum(sizes) - sizes
+            codes = encoded.indices.to_numpy(zero_copy_only=False)
+            lengths = sizes[codes]
+            after = np.cumsum(lengths)
+            total = int(after[-1]) if len(after) else 0
+            shift = np.repeat(first[codes] - (after - lengths), lengths)
+            chunk_ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            text_ends = np.concatenate([[0], after])[chunk_ends]
+            yield table[shift + np.arange(total)], text_ends
+            start = stop
 
 
 def encoder(name: str = TOKENIZER_FILE) -> CachedEncoder:
