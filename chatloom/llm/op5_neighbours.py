@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 
 NEAREST = 20
-PROJECTIONS = 64
-COLLISIONS = 0.57
-GROWTH = 1.5
+PROJECTIONS = 24
+COLLISIONS = 0.5
+GROWTH = 1.25
 FIRST_RADIUS = 0.1
 SEGMENT_ROWS = 16_384
 QUERY_ROWS = 2_048
@@ -61,7 +61,7 @@ class Segment:
         points = np.column_stack([self.vectors / self.norm, last])
         directions = np.random.default_rng(seed).standard_normal((points.shape[1], PROJECTIONS))
         projected = points @ directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
+        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(projected.T, self.order, axis=1)
         self.directions = directions[:-1]
 
@@ -71,62 +71,55 @@ class Segment:
         lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         centres = (queries / lengths[:, None]) @ self.directions
         reach = float(np.abs(self.sorted).max() + np.abs(centres).max())
+        radii = [FIRST_RADIUS]
+        while radii[-1] <= reach:
+            radii.append(radii[-1] * GROWTH)
+        # Ends of the window of every query in every array, for every radius.
+        shape = (len(radii), PROJECTIONS, len(queries))
+        low, high = np.empty(shape, dtype=np.int64), np.empty(shape, dtype=np.int64)
+        start = np.empty(shape[1:], dtype=np.int64)
+        for table, line in enumerate(self.sorted):
+            middle = centres[:, table]
+            start[table] = np.searchsorted(line, middle)
+            for step, radius in enumerate(radii):
+                low[step, table] = np.searchsorted(line, middle - radius, "left")
+                high[step, table] = np.searchsorted(line, middle + radius, "right")
+        return [
+            self._search_one(
+                query_ids[place], queries[place], lengths[place], k, radii,
+                start[:, place].tolist(), low[:, :, place].tolist(), high[:, :, place].tolist(),
+            )
+            for place in range(len(queries))
+        ]
+
+    def _search_one(self, query_id, query, length, k, radii, start, low, high):
         size, needed = len(self.ids), int(np.ceil(COLLISIONS * PROJECTIONS))
-        open_at = list(range(len(queries)))
-        starts = np.empty((PROJECTIONS, len(queries)), dtype=np.int64)
-        for table in range(PROJECTIONS):
-            starts[table] = np.searchsorted(self.sorted[table], centres[:, table])
-        ends = starts.copy()
-        counts: dict[int, np.ndarray] = {}
-        scores: dict[int, np.ndarray] = {}
-        radius, results = FIRST_RADIUS, {}
-        while open_at:
-            low, high = np.empty_like(starts), np.empty_like(ends)
-            for table in range(PROJECTIONS):
-                line, middle = self.sorted[table], centres[:, table]
-                low[table] = np.searchsorted(line, middle - radius, "left")
-                high[table] = np.searchsorted(line, middle + radius, "right")
-            still = []
-            for query in open_at:
-                reached = np.concatenate(
-                    [
-                        self.order[table, a:b]
-                        for table in range(PROJECTIONS)
-                        for a, b in (
-                            (low[table, query], starts[table, query]),
-                            (ends[table, query], high[table, query]),
-                        )
-                    ]
-                )
-                more = np.bincount(reached, minlength=size)
-                before = counts.get(query)
-                total = more if before is None else before + more
-                fresh = total >= needed
-                if before is not None:
-                    fresh &= before < needed
-                places = np.flatnonzero(fresh)
-                known = scores.setdefault(query, np.full(size, -np.inf))
-                if len(places):
-                    found = self.vectors[places] @ queries[query]
-                    found[self.ids[places] == query_ids[query]] = -np.inf
-                    known[places] = found
-                counts[query] = total
-                done = radius > reach
-                if not done and np.count_nonzero(known > -np.inf) >= k:
-                    kth = np.partition(known, size - k)[size - k]
-                    distance = 2.0 - 2.0 * kth / (self.norm * lengths[query])
-                    done = distance <= radius * radius
-                if done:
-                    best = np.argsort(-known, kind="stable")[:k]
-                    best = best[known[best] > -np.inf]
-                    results[query] = (self.ids[best], known[best])
-                    del counts[query], scores[query]
-                else:
-                    still.append(query)
-            open_at = still
-            starts, ends = np.minimum(starts, low), np.maximum(ends, high)
-            radius *= GROWTH
-        return [results[query] for query in range(len(queries))]
+        counts = np.zeros(size, dtype=np.int64)
+        verified = self.ids == query_id  # the query's own row is no candidate
+        places, scores = np.empty(0, dtype=np.int64), np.empty(0)
+        inner, outer = start, start
+        for radius, lows, highs in zip(radii, low, high, strict=True):
+            grown = []
+            for row, a, b, c, d in zip(self.order, lows, inner, outer, highs, strict=True):
+                if a < b:
+                    grown.append(row[a:b])
+                if c < d:
+                    grown.append(row[c:d])
+            inner, outer = lows, highs
+            if not grown:
+                continue
+            counts += np.bincount(np.concatenate(grown), minlength=size)
+            fresh = np.flatnonzero((counts >= needed) & ~verified)
+            if len(fresh):
+                verified[fresh] = True
+                places = np.concatenate([places, fresh])
+                scores = np.concatenate([scores, self.vectors[fresh] @ query])
+            if len(scores) >= k:
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                if 2.0 - 2.0 * kth / (self.norm * length) <= radius * radius:
+                    break
+        best = np.lexsort((places, -scores))[:k]
+        return self.ids[places[best]], scores[best]
 
 
 _UNIT = ("dim", "segment", "block")
