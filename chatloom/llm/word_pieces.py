@@ -29,7 +29,7 @@ _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-Þß-öø-þ]+\Z")
 _MARKS = ".,;:!?"
 
 # Bytes of text that are put together at a time.
-_CALL_BYTES = 2 << 20
+_CALL_BYTES = 8 << 20
 
 _ENCODERS: dict[str, CachedEncoder] = {}
 
@@ -143,10 +143,12 @@ class CachedEncoder:
             lengths = sizes[codes]
             after = np.cumsum(lengths)
             total = int(after[-1]) if len(after) else 0
-            shift = np.repeat(first[codes] - (after - lengths), lengths)
+            # Places in this table and this call's ids are far below 2**31.
+            shift = np.repeat((first[codes] - (after - lengths)).astype(np.int32), lengths)
+            shift += np.arange(total, dtype=np.int32)
             chunk_ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             text_ends = np.concatenate([[0], after])[chunk_ends]
-            yield table[shift + np.arange(total)], text_ends
+            yield table[shift], text_ends
             start = stop
 
 
