@@ -12,14 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.scratch import materialize_and_measure
+from chatloom.scratch import materialize, materialize_and_measure
 
 # A table of group offsets up to this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_GROUPS = 100_000
 
-# Rows per bucket when an existing integer order is made dense again.
-BUCKET_ROWS = 1 << 16
-
 
 def _with_offsets(df: DataFrame, groups: Sequence[str], sizes: DataFrame) -> DataFrame:
     earlier = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
@@ -46,15 +43,17 @@ def index_by_split(df: DataFrame, groups: Sequence[str], position: str, name: st
 
 
 def index_by_order(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Dense index along ``order``, a unique non-negative integer column that may have gaps.
+    """Dense index along ``order``, a unique column that may have gaps of any size.
 
-    The rank is taken inside buckets of at most ``BUCKET_ROWS`` consecutive values.
+    Rows are dealt into ranges of about equal numbers and numbered inside them, so there are as many
+    groups as ranges, whatever the values are.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(order) / BUCKET_ROWS))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
-    ranked = bucketed.withColumn("_rank", rank)
-    placed = _with_offsets(ranked, ["_bucket"], sizes)
-    return placed.withColumn(name, F.col("_offset") + F.col("_rank") - 1).drop(
-        "_bucket", "_rank", "_offset"
+    ranged = materialize(
+        df.repartitionByRange(order)
+        .sortWithinPartitions(order)
+        .withColumn("_range", F.spark_partition_id())
+        # Counts up by one inside a partition.
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "ranges",
     )
+    return index_by_split(ranged, ["_range"], "_at", name).drop("_range", "_at")

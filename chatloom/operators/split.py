@@ -61,12 +61,12 @@ def find_cutoff(df: DataFrame, rows: int, take: int, seed: int, index: str) -> C
 def eval_size(rows: int, ratio: float) -> int:
     """At least one row, otherwise rounded half to even; both sides must get rows."""
     if not 0 < ratio < 1:
-        raise ValueError("eval_ratio must be between 0 and 1")
+        raise ValueError("eval_ratio has to lie between 0 and 1")
     if rows < 2:
-        raise ValueError("At least two valid, unique records are required for splitting")
+        raise ValueError("a split needs at least two valid records that differ")
     size = max(1, round(rows * ratio))
     if size >= rows:
-        raise ValueError("Evaluation split consumed all records")
+        raise ValueError("the ratio leaves no record for training")
     return size
 
 

@@ -83,16 +83,20 @@ def profile_vectors(vectors: DataFrame, vector: str = "embedding") -> VectorProf
 
 def require_vectors(profile: VectorProfile) -> None:
     if profile.min_dimension != profile.max_dimension:
-        raise ValueError("embeddings must be a 2-D array: vectors differ in length")
+        raise ValueError("the vectors differ in length")
     if profile.bad_vectors:
-        raise ValueError("embeddings contain NULL, NaN or infinite values")
+        raise ValueError("some vectors are NULL or hold NaN or infinite values")
     if profile.zero_vectors:
-        raise ValueError("embeddings contain zero-length vectors")
+        raise ValueError("some vectors are zero")
 
 
-def normalize(vectors: DataFrame, profile: VectorProfile, vector: str = "embedding") -> DataFrame:
-    """Divide all vectors by their norms if any norm is off; otherwise leave all as they are."""
-    if not profile.off_unit:
+def normalize(
+    vectors: DataFrame, profile: VectorProfile, vector: str = "embedding", mode: str = "auto"
+) -> DataFrame:
+    """Divide all vectors by their norms, with ``auto`` only if any norm is off."""
+    if mode not in ("auto", "always"):
+        raise ValueError("vectors are normalized in mode auto or always")
+    if mode == "auto" and not profile.off_unit:
         return vectors
     scaled = F.transform(vector, lambda x: (x / F.col("_norm")).cast("float"))
     return (
@@ -103,15 +107,18 @@ def normalize(vectors: DataFrame, profile: VectorProfile, vector: str = "embeddi
 def attach_vectors(
     records: DataFrame, vectors: DataFrame, key: str, n_records: int | None = None
 ) -> DataFrame:
-    """Join caller-supplied vectors to records; there must be as many of one as of the other.
+    """Join caller-supplied vectors to records.
 
-    A record whose key has no vector gets NULL, which the checks of the vectors report.
+    Vectors by position among the unique records must be as many as these; by another key, those
+    of the records are chosen. A record whose key has no vector gets NULL, which the checks of the
+    vectors report.
     """
+    if key != "row_index":
+        return records.join(vectors, key, "left")
     n_records = records.count() if n_records is None else n_records
     n_vectors = vectors.count()
     if n_records != n_vectors:
         raise ValueError(
-            "precomputed embeddings do not match the exact-unique records: "
-            f"{n_vectors} != {n_records}"
+            f"{n_vectors} != {n_records}: as many vectors are needed as there are unique records"
         )
     return records.join(vectors, key, "left")

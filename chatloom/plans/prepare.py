@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.operators.convert import convert_records, error_sample
-from chatloom.operators.embed import Encoder
+from chatloom.operators.embed import Encoder, require_encoder
 from chatloom.operators.exact import conversation_key, drop_rows, exact_copies
 from chatloom.operators.report import EXACT, INVALID, RETAINED, SEMANTIC, dataset_stats
 from chatloom.operators.split import eval_size, seeded_order, train_eval_split
@@ -100,11 +100,15 @@ def _near_copies(
     encoder: Encoder | None,
 ) -> DedupResult:
     texts = text_of_conversations(unique, params.dedup.text_mode)
-    records = texts.select(
-        "source_index",
-        F.to_json(F.struct("conversations")).alias("record"),
-        "text",
-        "text_error",
+    # The job reads its records several times.
+    records = materialize(
+        texts.select(
+            "source_index",
+            F.to_json(F.struct("conversations")).alias("record"),
+            "text",
+            "text_error",
+        ),
+        "dedup-records",
     )
     return deduplicate(
         records, params.dedup, vectors=vectors, vector_key=vector_key, encoder=encoder, exact=False
@@ -127,6 +131,8 @@ def prepare_file(
     job unless ``bad_records`` is ``quarantine``.
     """
     params.validate()
+    if params.dedup is not None:
+        require_encoder(params.dedup, encoder)
     scanned = convert_records(scan_records(spark, path, layout=layout), params.record_format)
     read, checks = materialize_and_measure(scanned.drop("v"), "converted", **source_checks())
     require_clean(spark, path, checks, layout=layout, bad_records=bad_records)

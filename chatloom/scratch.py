@@ -7,7 +7,7 @@ columns they need.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from typing import Any
 from uuid import uuid4
 
@@ -20,13 +20,22 @@ _RUN = uuid4().hex
 
 
 def scratch_root(spark: SparkSession) -> str:
+    """The configured checkpoint folder, else a folder beside the session's tables.
+
+    The warehouse is on a file system that all executors share, too. What a process wrote there is
+    deleted when it ends.
+    """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chatloom-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    atexit.unregister(_discard_at_exit)
+    atexit.register(_discard_at_exit, spark)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/chatloom-scratch"
+
+
+def _discard_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:
+        discard(spark)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

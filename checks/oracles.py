@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.functions.text import PY_WHITESPACE
-from chatloom.operators.embed import HASHED_BITS, TRIGRAM_FACTORS
-
 from checks.queries import (
     CONVERSATION_THRESHOLD,
+    COPY_OFFSET,
     DOCUMENTS_PER_ARRAY,
     EVAL_RATIO,
     QUESTION,
@@ -17,6 +15,13 @@ from checks.queries import (
 )
 
 
+# The characters that str.strip() removes.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def _strip(text: str) -> str:
     return f"trim({text}, '{PY_WHITESPACE}')"
 
@@ -37,7 +42,17 @@ FROM documents
 """
 
 ORACLES["jsonl_source_order"] = """
-SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, doc_id FROM documents
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, doc_id, text FROM documents
+"""
+
+ORACLES["exact_dedup_numbers"] = """
+WITH placed AS (
+    SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, n_chars % 50 AS n,
+           doc_id % 2 AS spelling, lang FROM documents),
+firsts AS (
+    SELECT source_index, min(source_index) OVER (PARTITION BY n, spelling, lang) AS retained
+    FROM placed)
+SELECT source_index, retained FROM firsts WHERE source_index > retained
 """
 
 ORACLES["json_document_records"] = f"""
@@ -137,6 +152,27 @@ WHERE error IS NOT NULL ORDER BY record_no LIMIT 20
 """
 )
 
+ORACLES["message_shapes"] = (
+    CONVERTED.replace(
+        VARIED,
+        """varied AS (
+    SELECT conv_id, turn * 2 + again AS turn, role, text
+    FROM conversations, (VALUES (0), (1)) twice(again)
+    WHERE again = 0 OR conv_id % 7 = 5)""",
+    )
+    + """
+SELECT conv_id,
+       CASE conv_id % 7 WHEN 1 THEN 'ShareGPT record is missing conversations/messages'
+                        WHEN 2 THEN 'ShareGPT record is missing conversations/messages'
+                        WHEN 3 THEN 'ShareGPT record is missing conversations/messages'
+                        WHEN 4 THEN coalesce(message_error, 'Each conversation entry must be an object')
+                        WHEN 6 THEN 'ShareGPT record is missing conversations/messages'
+                        ELSE error END AS error
+FROM converted LEFT JOIN grouped USING (conv_id)
+"""
+).replace("converted LEFT JOIN grouped USING (conv_id)",
+          "converted LEFT JOIN (SELECT conv_id, message_error FROM grouped) g USING (conv_id)")
+
 NO_CONTENT = "'Conversation message content must be a non-empty string'"
 
 ORACLES["qa_to_chat"] = f"""
@@ -236,6 +272,27 @@ SELECT count(*) AS n_rows, min(dimension) AS min_dimension, max(dimension) AS ma
 FROM lengths
 """
 
+ORACLES["embedding_checks_bad"] = """
+SELECT count(*) AS n_rows,
+       max(CASE vec_id % 11 WHEN 0 THEN NULL WHEN 4 THEN len(embedding) + 1
+                            ELSE len(embedding) END) AS max_dimension,
+       count(*) FILTER (WHERE vec_id % 11 = 1) AS zero_vectors,
+       count(*) FILTER (WHERE vec_id % 11 IN (0, 2, 3)) AS bad_vectors
+FROM embeddings
+"""
+
+ORACLES["renormalize_always"] = """
+WITH stretched AS (
+    SELECT vec_id, list_transform(embedding, lambda x: (x * 1.0005::DOUBLE)::FLOAT)::DOUBLE[] AS v
+    FROM embeddings
+),
+measured AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM stretched)
+SELECT vec_id,
+       round(list_sum(list_transform(v, lambda x, i: (x / norm)::FLOAT::DOUBLE * i)), 4)
+           AS weighted_sum
+FROM measured
+"""
+
 ORACLES["renormalize"] = """
 WITH stretched AS (
     SELECT vec_id, list_transform(embedding, lambda x: (x * (label + 1))::FLOAT)::DOUBLE[] AS v
@@ -248,30 +305,33 @@ SELECT vec_id,
 FROM measured
 """
 
-FIRST, SECOND, THIRD = (int(factor) for factor in TRIGRAM_FACTORS)
-
-ORACLES["hash_embedding"] = f"""
-WITH coded AS (
-    SELECT doc_id, list_transform(regexp_extract_all(chr(2) || text || chr(3), '(?s).'),
-                                  lambda c: unicode(c)::HUGEINT) AS c
-    FROM documents
-),
-grams AS (SELECT doc_id, c, unnest(range(1, len(c) - 1)) AS i FROM coded),
-buckets AS (
-    SELECT doc_id, (c[i] * {FIRST} + c[i + 1] * {SECOND} + c[i + 2] * {THIRD})
-                   % {1 << 64}::HUGEINT // {1 << (64 - HASHED_BITS)}::HUGEINT AS bucket
-    FROM grams
-),
-counts AS (SELECT doc_id, bucket, count(*) AS n FROM buckets GROUP BY ALL),
+ORACLES["hash_embedding"] = """
+WITH said AS (
+    SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+runs AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM said),
+hashed AS (SELECT doc_id, md5(array_to_string(w[i:i + 2], ' ')) AS h FROM runs),
+placed AS (
+    SELECT doc_id,
+           (instr('0123456789abcdef', h[1]) - 1) * 256 + (instr('0123456789abcdef', h[2]) - 1) * 16
+               + instr('0123456789abcdef', h[3]) - 1 AS bucket,
+           CASE WHEN h[4] < '8' THEN 1 ELSE -1 END AS sign
+    FROM hashed),
+counts AS (
+    SELECT doc_id, bucket, sum(sign) AS n FROM placed GROUP BY ALL HAVING sum(sign) <> 0),
 lengths AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id)
 SELECT doc_id, count(*) AS n_used,
        round(sum((n / norm)::FLOAT::DOUBLE * (bucket + 1)), 4) AS weighted_sum
 FROM counts JOIN lengths USING (doc_id) GROUP BY doc_id
 """
 
-ORACLES["precomputed_vectors"] = """
+# Every document has a vector: the table's in order, again and again.
+PLACED = """(SELECT row_number() OVER (ORDER BY vec_id) - 1 AS place, embedding,
+                    embedding::DOUBLE[] AS v FROM embeddings)"""
+TURNS = "(SELECT count(*) FROM embeddings)"
+
+ORACLES["precomputed_vectors"] = f"""
 SELECT doc_id, lang, len(embedding) AS dimension
-FROM documents JOIN embeddings ON doc_id = vec_id
+FROM documents JOIN {PLACED} ON doc_id % {TURNS} = place
 """
 
 # -- near copies --------------------------------------------------------------------------------
@@ -308,6 +368,42 @@ ALL_MATCHES = "WITH RECURSIVE " + _matches(f"SELECT vec_id AS id, v FROM {WIDENE
 ORACLES["nearest_earlier_match"] = (
     ALL_MATCHES + "SELECT duplicate_index, matched_index, similarity FROM log"
 )
+ORACLES["nearest_earlier_partitioned"] = ORACLES["nearest_earlier_match"]
+ORACLES["nearest_earlier_repeated"] = (
+    "WITH RECURSIVE "
+    + _matches(
+        f"""SELECT vec_id AS id, v FROM {WIDENED}
+            UNION ALL SELECT vec_id + 2000000, v FROM {WIDENED}
+            UNION ALL SELECT vec_id + 1000000,
+                CASE WHEN vec_id % 2 = 0 THEN v ELSE
+                list_transform(embedding, lambda x: (x * 1.0005::DOUBLE)::FLOAT)::DOUBLE[] END
+                FROM {WIDENED}""",
+        0.9,
+    )
+    + "SELECT duplicate_index, matched_index, similarity FROM log"
+)
+
+SPLIT = f"""
+SELECT {{name}} AS id, row_number() OVER (ORDER BY sha256('{SEED}:' || {{name}}))
+    <= greatest(1, round_even(count(*) OVER () * {EVAL_RATIO}, 0)) AS held, * FROM {{table}}
+"""
+
+ORACLES["leakage_exact"] = f"""
+WITH split AS ({SPLIT.format(name="doc_id", table="documents")})
+SELECT e.doc_id AS eval_index, min(t.doc_id) AS train_index
+FROM split e JOIN split t ON e.text = t.text AND e.held AND NOT t.held GROUP BY e.doc_id
+"""
+
+ORACLES["leakage_semantic"] = f"""
+WITH split AS ({SPLIT.format(name="vec_id", table=WIDENED)}),
+pairs AS (
+    SELECT e.vec_id AS eval_index, t.vec_id AS train_index, list_dot_product(e.v, t.v) AS sim
+    FROM split e JOIN split t ON e.held AND NOT t.held)
+SELECT eval_index, arg_min(train_index, (-sim, train_index)) AS train_index,
+       round(max(sim), 6) AS similarity
+FROM pairs WHERE sim >= {THRESHOLD} GROUP BY eval_index
+"""
+
 ORACLES["semantic_retained"] = (
     ALL_MATCHES
     + "SELECT vec_id FROM embeddings WHERE vec_id NOT IN (SELECT duplicate_index FROM log)"
@@ -316,7 +412,7 @@ ORACLES["anchor_chain"] = ALL_MATCHES + "SELECT * FROM log"
 ORACLES["semantic_removal_detail"] = (
     "WITH RECURSIVE "
     + _matches(
-        f"SELECT vec_id AS id, v FROM {WIDENED} JOIN documents ON doc_id = vec_id", THRESHOLD
+        f"SELECT doc_id AS id, v FROM documents JOIN {PLACED} ON doc_id % {TURNS} = place", THRESHOLD
     )
     + """
 SELECT log.*, d.text AS duplicate_text, m.text AS matched_text, r.text AS retained_text
@@ -329,7 +425,7 @@ FROM log JOIN documents d ON d.doc_id = duplicate_index
 DEDUPED = f"""
 WITH RECURSIVE records AS (
     SELECT doc_id, text, v, min(doc_id) OVER (PARTITION BY text, lang) AS retained
-    FROM documents JOIN {WIDENED} ON doc_id = vec_id
+    FROM documents JOIN {PLACED} ON doc_id % {TURNS} = place
 ),
 kept AS (
     SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id, text, v
@@ -399,12 +495,23 @@ FROM placed
 """
 )
 
+WITH_COPIES = CONVERTED.replace(
+    VARIED,
+    f"""varied AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL
+                   SELECT conv_id + {COPY_OFFSET}, turn, role, text FROM conversations
+                   WHERE conv_id % 2 = 0)""",
+)
+
+ORACLES["split_files"] = (
+    ORACLES["prepared_dataset"].replace("SELECT conv_id, dialogue,\n       CASE", "SELECT dialogue,\n       CASE")
+)
+
 ORACLES["dataset_stats"] = (
-    PLAIN.replace("WITH", "WITH RECURSIVE", 1)
+    WITH_COPIES.replace("WITH", "WITH RECURSIVE", 1)
     + UNIQUE
     + ","
     + _matches(
-        f"SELECT conv_id AS id, v FROM kept JOIN {WIDENED} ON conv_id = vec_id",
+        f"SELECT conv_id AS id, v FROM kept JOIN {PLACED} ON conv_id % {TURNS} = place",
         CONVERSATION_THRESHOLD,
     )
     + f"""
@@ -443,7 +550,7 @@ SELECT doc_id, text FROM documents ORDER BY sha256('{SEED}:' || doc_id) LIMIT {S
 
 # -- chat histories -----------------------------------------------------------------------------
 
-THOUGHT = f"'<think>' || {NL} || substr(text, 1, 40) || {NL} || '</think>'"
+THOUGHT = f"'<think>' || {NL} || text || {NL} || '</think>'"
 
 THINKING = f"""
 thinking AS (
@@ -451,7 +558,7 @@ thinking AS (
         WHEN 0 THEN {THOUGHT} || {NL} || {NL} || text
         WHEN 1 THEN ' ' || text || {NL} || {THOUGHT} || ' ' || {WIDE} || text || {THOUGHT}
         WHEN 2 THEN text || '<think>' || text
-        WHEN 3 THEN ''
+        WHEN 3 THEN {THOUGHT}
         ELSE text END AS text
     FROM conversations
 )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import chat
 from chatloom.functions.variant import DUPLICATE_KEYS_CONF, field, parse_strict
 from chatloom.operators.anchors import resolve_anchors
+from chatloom.operators.audit import exact_leakage, semantic_leakage
 from chatloom.operators.convert import convert_messages, convert_records, error_sample
 from chatloom.operators.embed import embed
 from chatloom.operators.exact import (
@@ -36,9 +37,9 @@ from chatloom.operators.vectors import (
     profile_vectors,
     require_vectors,
 )
-from chatloom.params import DedupParams, PrepareParams
+from chatloom.params import HASHED_MODEL, DedupParams, PrepareParams
 from chatloom.plans.dedup import DedupResult, deduplicate
-from chatloom.plans.prepare import PrepareResult, prepare
+from chatloom.plans.prepare import PrepareResult, prepare, prepare_file
 from chatloom.scratch import materialize, materialize_and_measure, scratch_path
 from chatloom.sources.records import (
     number_records,
@@ -120,13 +121,17 @@ def jsonl_parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jsonl_source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     path = scratch_path(spark, "documents") + ".jsonl"
-    write_jsonl(documents.orderBy("doc_id"), path, _object(doc_id="doc_id", lang="lang"))
+    write_jsonl(documents.orderBy("doc_id"), path, _object(doc_id="doc_id", text="text"))
     read, checks = materialize_and_measure(
         scan_records(spark, path).drop("v"), "records", **source_checks()
     )
     require_clean(spark, path, checks)
-    doc_id = F.try_variant_get(parse_strict(F.col("raw")), "$.doc_id", "bigint")
-    return number_records(read).select("source_index", doc_id.alias("doc_id"))
+    parsed = number_records(read).withColumn("v", parse_strict(F.col("raw")))
+    return parsed.select(
+        "source_index",
+        F.try_variant_get("v", "$.doc_id", "bigint").alias("doc_id"),
+        F.try_variant_get("v", "$.text", "string").alias("text"),
+    )
 
 
 @_query
@@ -146,6 +151,28 @@ def json_document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def exact_dedup_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies among the records of a JSON file with numbers in two spellings that stay different."""
+    documents = _table(spark, sf_dir, "documents")
+    number = (F.col("n_chars") % 50).cast("string")
+    spelled = F.when(F.col("doc_id") % 2 == 0, number).otherwise(F.concat(number, F.lit(".0")))
+    record = F.concat(F.lit('{"n": '), spelled, F.lit(', "lang": '), F.to_json(F.array("lang")), F.lit("}"))
+    path = scratch_path(spark, "numbers")
+    # A file of one array: every line but the first and the last is a record and a comma.
+    lines = documents.orderBy("doc_id").select(F.concat(record, F.lit(",")).alias("value"))
+    ends = [spark.createDataFrame([(text,)], "value string") for text in ("[", "{}]")]
+    one = ends[0].coalesce(1).unionByName(lines.coalesce(1)).unionByName(ends[1].coalesce(1))
+    one.coalesce(1).write.text(path)
+    scanned = scan_records(spark, path, layout="document")
+    keyed = scanned.withColumn("key", record_key(F.col("v"), F.col("raw")))
+    read, checks = materialize_and_measure(keyed.drop("v"), "records", **source_checks())
+    require_clean(spark, path, checks, layout="document")
+    records = materialize(number_records(read).select("source_index", "key"), "keys")
+    copies, _ = exact_copies(records, "source_index")
+    return copies.select("source_index", "retained")
+
+
 @_query
 def turns_to_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = conversations_from_turns(_table(spark, sf_dir, "conversations"))
@@ -224,6 +251,27 @@ def invalid_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error_sample(numbered.withColumn("record_no", F.col("source_index") + 1), "record_no")
 
 
+@_query
+def message_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are absent, empty, no list, with an entry that is no object, or repeated."""
+    conversations = conversations_from_turns(_table(spark, sf_dir, "conversations"))
+    listed = F.to_json("messages")
+    without_end = F.substring(listed, F.lit(1), F.length(listed) - 1)
+    twice = F.to_json(F.flatten(F.transform("messages", lambda m: F.array(m, m))))
+    raw = _cases(
+        F.col("conv_id") % 7,
+        F.concat(F.lit('{"messages": '), listed, F.lit("}")),
+        F.lit('{"other": 1}'),
+        F.lit('{"messages": []}'),
+        F.lit('{"messages": "text"}'),
+        F.concat(F.lit('{"messages": '), without_end, F.lit(', "text"]}')),
+        F.concat(F.lit('{"messages": '), twice, F.lit("}")),
+        F.lit('{"conversations": null, "messages": []}'),
+    )
+    records = conversations.select("conv_id", parse_strict(raw).alias("v"))
+    return convert_records(records, "sharegpt").select("conv_id", "error")
+
+
 def _two_turns(converted: DataFrame) -> DataFrame:
     return converted.select(
         "doc_id",
@@ -365,6 +413,28 @@ def embedding_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def embedding_checks_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over vectors of which some are NULL, zero, not a number, infinite or longer."""
+    spoiled = _cases(
+        F.col("vec_id") % 11,
+        F.lit(None).cast("array<float>"),
+        F.transform("embedding", lambda x: (x * 0).cast("float")),
+        F.transform("embedding", lambda x: F.lit(float("nan")).cast("float")),
+        F.transform("embedding", lambda x: F.lit(float("inf")).cast("float")),
+        F.concat("embedding", F.array(F.lit(1.0).cast("float"))),
+        F.col("embedding"),
+    )
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", spoiled.alias("embedding"))
+    columns = [column.alias(name) for name, column in profile_columns().items()]
+    return vectors.agg(*columns).select(
+        "n_rows",
+        F.col("max_dimension").cast("long").alias("max_dimension"),
+        "zero_vectors",
+        "bad_vectors",
+    )
+
+
 def _weighted_sum(vector: str) -> Column:
     weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
     return F.aggregate(weighted, F.lit(0.0), lambda total, x: total + x)
@@ -379,20 +449,38 @@ def renormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit.select("vec_id", F.round(_weighted_sum("embedding"), 4).alias("weighted_sum"))
 
 
+@_query
+def renormalize_always(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors within the tolerance are divided by their norms, too, when that is asked for."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    stretched = F.transform("embedding", lambda x: (x * F.lit(1.0005)).cast("float"))
+    scaled = vectors.select("vec_id", stretched.alias("embedding"))
+    unit = normalize(scaled, profile_vectors(scaled), mode="always")
+    return unit.select("vec_id", F.round(_weighted_sum("embedding"), 4).alias("weighted_sum"))
+
+
+def _vectors_of(spark: SparkSession, sf_dir: str, rows: DataFrame, index: str) -> DataFrame:
+    """A vector for every row: the table's vectors in order, again and again."""
+    table = materialize(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "table")
+    placed = index_by_order(table, "vec_id", "place")
+    turn = F.pmod(F.col(index), F.lit(table.count())).alias("place")
+    found = rows.select(index, turn).join(placed.select("place", "embedding"), "place")
+    return found.select(index, "embedding")
+
+
 @_query
 def precomputed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    documents = _table(spark, sf_dir, "documents").join(vectors, "doc_id", "left_semi")
-    covered = vectors.join(documents, "doc_id", "left_semi")
-    joined = attach_vectors(documents.select("doc_id", "lang"), covered, "doc_id")
+    documents = _table(spark, sf_dir, "documents")
+    vectors = _vectors_of(spark, sf_dir, documents, "doc_id")
+    joined = attach_vectors(documents.select("doc_id", "lang"), vectors, "doc_id")
     return joined.select("doc_id", "lang", F.size("embedding").cast("long").alias("dimension"))
 
 
 @_query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default encoder; each vector is shown by two numbers that any change would move."""
+    """The hashing encoder; each vector is shown by two numbers that any change would move."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return embed(documents, DedupParams()).select(
+    return embed(documents, DedupParams(model_name_or_path=HASHED_MODEL)).select(
         "doc_id",
         F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("n_used"),
         F.round(_weighted_sum("embedding"), 4).alias("weighted_sum"),
@@ -402,12 +490,12 @@ def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- near copies --------------------------------------------------------------------------------
 
 
-def _matches(embeddings: DataFrame) -> DataFrame:
+def _matches(embeddings: DataFrame, threshold: float = THRESHOLD, **spread) -> DataFrame:
     vectors = embeddings.select(F.col("vec_id").alias("row_index"), "embedding")
     profile = profile_vectors(vectors)
     require_vectors(profile)
     unit = normalize(vectors, profile)
-    return nearest_earlier(unit, profile.after_normalization(), THRESHOLD)
+    return nearest_earlier(unit, profile.after_normalization(), threshold, **spread)
 
 
 @_query
@@ -417,6 +505,56 @@ def nearest_earlier_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def nearest_earlier_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with so small tiles that pivots, groups and cells are many, as in large tables."""
+    found = _matches(_table(spark, sf_dir, "embeddings"), tile_rows=16)
+    return found.select(
+        "duplicate_index", "matched_index", F.round("similarity", 6).alias("similarity")
+    )
+
+
+@_query
+def nearest_earlier_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector again, half of them a little longer: twins of equal and unequal length."""
+    embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    longer = F.transform("embedding", lambda x: (x * F.lit(1.0005)).cast("float"))
+    again = embeddings.select(
+        (F.col("vec_id") + 1_000_000).alias("vec_id"),
+        F.when(F.col("vec_id") % 2 == 0, F.col("embedding")).otherwise(longer).alias("embedding"),
+    )
+    third = embeddings.select((F.col("vec_id") + 2_000_000).alias("vec_id"), "embedding")
+    every = materialize(embeddings.unionByName(again).unionByName(third), "repeated")
+    found = _matches(every, 0.9)
+    return found.select(
+        "duplicate_index", "matched_index", F.round("similarity", 6).alias("similarity")
+    )
+
+
+@_query
+def leakage_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation documents whose text the training documents hold as well."""
+    documents = _table(spark, sf_dir, "documents")
+    split = train_eval_split(documents, documents.count(), EVAL_RATIO, SEED, "doc_id")
+    keyed = materialize(split.select("doc_id", "split", F.sha2("text", 256).alias("key")), "keys")
+    sides = [keyed.where(F.col("split") == side) for side in ("eval", "train")]
+    return exact_leakage(sides[0], sides[1], "doc_id", "key")
+
+
+@_query
+def leakage_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation vectors with a close one among the training vectors."""
+    embeddings = _table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "row_index")
+    profile = profile_vectors(embeddings)
+    unit = normalize(embeddings, profile)
+    split = materialize(
+        train_eval_split(unit, profile.n_rows, EVAL_RATIO, SEED, "row_index"), "split-vectors"
+    )
+    sides = [split.where(F.col("split") == side) for side in ("eval", "train")]
+    found = semantic_leakage(sides[0], sides[1], profile.after_normalization(), THRESHOLD)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 @_query
 def semantic_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
@@ -433,33 +571,26 @@ def anchor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def semantic_removal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    # The smallest tables have more vectors than documents.
-    covered = _table(spark, sf_dir, "embeddings").join(
-        documents.select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi"
-    )
-    matches = materialize(_matches(materialize(covered, "vectors")), "matches")
+    vectors = _vectors_of(spark, sf_dir, documents.withColumnRenamed("doc_id", "vec_id"), "vec_id")
+    matches = materialize(_matches(materialize(vectors, "vectors")), "matches")
     log = match_log(resolve_anchors(matches))
     records = _document_records(documents.withColumnRenamed("doc_id", "row_index"), "row_index")
     return removal_details(log, log.count(), records).drop("record")
 
 
 def _document_dedup(spark: SparkSession, sf_dir: str) -> DedupResult:
-    """Both kinds of removal over the documents that have a vector."""
-    vectors = _table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "source_index")
+    """Both kinds of removal over all documents, each with a vector."""
     documents = _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "source_index")
-    covered = documents.join(vectors, "source_index", "left_semi")
-    with_key = _document_records(covered, "source_index").withColumn(
+    with_key = _document_records(documents, "source_index").withColumn(
         "key", record_key(parse_strict(F.col("record")), F.col("record"))
     )
     records = materialize(
         with_key.withColumn("text_error", F.lit(None).cast("string")), "records"
     )
-    copies, _ = exact_copies(records.select("source_index", "key"), "source_index")
-    of_unique = drop_rows(vectors.select("source_index", "embedding"), copies, "source_index")
     return deduplicate(
         records,
         DedupParams(similarity_threshold=THRESHOLD),
-        vectors=of_unique.join(records, "source_index", "left_semi"),
+        vectors=_vectors_of(spark, sf_dir, documents, "source_index"),
         vector_key="source_index",
     )
 
@@ -490,16 +621,23 @@ def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- the whole preparation ----------------------------------------------------------------------
 
 
-def _converted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = conversations_from_turns(_table(spark, sf_dir, "conversations"))
+COPY_OFFSET = 1_000_000
+
+
+def _converted_conversations(
+    spark: SparkSession, sf_dir: str, with_copies: bool = False
+) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    if with_copies:
+        copied = table.where(F.col("conv_id") % 2 == 0)
+        table = table.unionByName(copied.withColumn("conv_id", F.col("conv_id") + COPY_OFFSET))
+    turns = conversations_from_turns(table)
     converted = convert_messages(turns.withColumnRenamed("conv_id", "source_index"))
     return materialize(converted.drop("messages"), "converted")
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> PrepareResult:
-    converted = _converted_conversations(spark, sf_dir)
-    valid = converted.where(F.col("error").isNull()).select("source_index")
-    vectors = _table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "source_index")
+    converted = _converted_conversations(spark, sf_dir, with_copies=True)
     params = PrepareParams(
         "sharegpt",
         EVAL_RATIO,
@@ -509,9 +647,7 @@ def _prepared(spark: SparkSession, sf_dir: str) -> PrepareResult:
     return prepare(
         converted,
         params,
-        vectors=vectors.join(valid, "source_index", "left_semi").select(
-            "source_index", "embedding"
-        ),
+        vectors=_vectors_of(spark, sf_dir, converted, "source_index"),
         vector_key="source_index",
     )
 
@@ -532,6 +668,27 @@ def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on files: conversations written as JSONL, both sets read back."""
+    conversations = conversations_from_turns(_table(spark, sf_dir, "conversations"))
+    path = scratch_path(spark, "conversations") + ".jsonl"
+    write_jsonl(conversations.orderBy("conv_id"), path, _object(messages="messages"))
+    output = scratch_path(spark, "prepared")
+    prepare_file(spark, path, output, PrepareParams("sharegpt", EVAL_RATIO, SEED))
+    sets = [
+        spark.read.text(f"{output}/{split}/{split}.jsonl").select(
+            parse_strict(F.col("value")).alias("v"), F.lit(split).alias("split")
+        )
+        for split in ("train", "eval")
+    ]
+    messages = F.try_variant_get(
+        "v", "$.conversations", "array<struct<`from`:string,value:string>>"
+    )
+    read = sets[0].unionByName(sets[1]).withColumn("conversations", messages)
+    return read.select("split", _joined("conversations", "from", "value").alias("dialogue"))
+
+
 @_query
 def train_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
@@ -550,15 +707,15 @@ def capped_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _thinking_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns with reasoning in front of, inside or behind the text, closed or not."""
+    """Turns with reasoning in front of, inside, behind or instead of the text, closed or not."""
     turns = _table(spark, sf_dir, "conversations")
-    thought = F.concat(F.lit("<think>\n"), F.substring("text", 1, 40), F.lit("\n</think>"))
+    thought = F.concat(F.lit("<think>\n"), "text", F.lit("\n</think>"))
     text = _cases(
         F.length("text") % 5,
         F.concat(thought, F.lit("\n\n"), "text"),
         F.concat(F.lit(" "), "text", F.lit("\n"), thought, F.lit(" \u3000"), "text", thought),
         F.concat("text", F.lit("<think>"), "text"),
-        F.lit(""),
+        thought,
         F.col("text"),
     )
     return turns.select("conv_id", "turn", "role", text.alias("text"))

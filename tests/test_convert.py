@@ -171,6 +171,6 @@ def test_text_modes(spark):
 
 def test_first_bad_text_fails(spark):
     extracted = text_of_records(records(spark, chat(("user", "a")), {}, {}), "first_user")
-    with pytest.raises(ValueError, match="from record 1: "):
+    with pytest.raises(ValueError, match="record 1 has no"):
         require_texts(extracted.agg(first_text_error("i")).first()[0])
     require_texts(extracted.where("i = 0").agg(first_text_error("i")).first()[0])

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from chatloom.__main__ import main
 from chatloom.operators.embed import embed, sentence_encoder
-from chatloom.params import DedupParams, PrepareParams, config_object
+from chatloom.operators.similar import nearest_earlier
+from chatloom.operators.vectors import profile_vectors
+from chatloom.params import HASHED_MODEL, DedupParams, PrepareParams, config_object
 from chatloom.plans.dedup import deduplicate, deduplicate_file
 from chatloom.plans.prepare import prepare_file
+from chatloom.scratch import materialize
 from chatloom.sources.records import SourceError
 from chatloom.streaming.convert import converted_stream, write_stream
 
@@ -118,8 +121,9 @@ def test_dedup_with_supplied_vectors(spark):
 
 def test_dedup_stops_at_a_record_without_text(spark, tmp_path):
     path = write_lines(tmp_path / "in.jsonl", [chat("a", "b"), {"conversations": []}])
-    with pytest.raises(ValueError, match="from record 1"):
-        deduplicate_file(spark, path, str(tmp_path / "out"), DedupParams())
+    params = DedupParams(model_name_or_path=HASHED_MODEL)
+    with pytest.raises(ValueError, match="record 1 has no"):
+        deduplicate_file(spark, path, str(tmp_path / "out"), params)
     assert not (tmp_path / "out").exists()
 
 
@@ -152,7 +156,8 @@ def test_dedup_of_nothing(spark):
     empty = spark.createDataFrame(
         [], "source_index long, record string, text string, text_error string, key string"
     )
-    report = deduplicate(empty, DedupParams()).report.first()
+    params = DedupParams(model_name_or_path=HASHED_MODEL)
+    report = deduplicate(empty, params).report.first()
     assert (report.input_records, report.removal_rate, report.embedding_dimension) == (0, 0.0, 0)
 
 
@@ -203,18 +208,43 @@ def test_prepare_with_near_copies(spark, tmp_path):
 
 def test_prepare_checks_before_it_writes(spark, tmp_path):
     path = write_lines(tmp_path / "in.jsonl", [qa("q", "a"), qa(" q", "a")])
-    with pytest.raises(ValueError, match="At least two"):
+    with pytest.raises(ValueError, match="at least two"):
         prepare_file(spark, path, str(tmp_path / "out"), PrepareParams("qa"))
     with pytest.raises(ValueError, match="eval_ratio"):
         prepare_file(spark, path, str(tmp_path / "out"), PrepareParams("qa", eval_ratio=1.0))
     assert not (tmp_path / "out").exists()
 
 
-def test_hashed_default_encoder(spark):
-    df = spark.createDataFrame([("hello there",), ("hello there!",), ("x",), ("完全不同的",)], "text string")
-    vectors = [np.array(r.embedding) for r in embed(df, DedupParams()).collect()]
+def test_hashing_encoder(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    df = spark.createDataFrame([(long,), (long + " end",), ("x",), ("完全不同的",), ("",)], "text string")
+    hashed = DedupParams(model_name_or_path=HASHED_MODEL)
+    vectors = [np.array(r.embedding) for r in embed(df, hashed).collect()]
     assert all(abs(np.linalg.norm(v) - 1) < 1e-6 for v in vectors)
-    assert vectors[0] @ vectors[1] > 0.8 > vectors[0] @ vectors[3]
+    assert vectors[0] @ vectors[1] > 0.95 and abs(vectors[0] @ vectors[3]) < 0.2
+
+
+def test_there_is_no_default_encoder(spark, tmp_path):
+    path = write_lines(tmp_path / "in.jsonl", [qa("q", "a")])
+    with pytest.raises(ValueError, match="encoder"):
+        deduplicate_file(spark, path, str(tmp_path / "out"), DedupParams())
+    with pytest.raises(ValueError, match="encoder"):
+        prepare_file(spark, path, str(tmp_path / "out"), PrepareParams("qa", dedup=DedupParams()))
+    assert not (tmp_path / "out").exists()
+
+
+def test_unrelated_texts_are_retained(spark):
+    """At the default threshold only texts that share most of their words go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
+    hashed = DedupParams(model_name_or_path=HASHED_MODEL)
+    vectors = materialize(embed(docs.select(F.col("doc_id").alias("row_index"), "text"), hashed), "v")
+    matches = nearest_earlier(vectors.select("row_index", "embedding"), profile_vectors(vectors), 0.92)
+    texts = {r.row_index: r.text.split() for r in vectors.select("row_index", "text").collect()}
+    found = matches.collect()
+    assert len(found) < 0.1 * len(texts)
+    for r in found:
+        a, b = ({tuple(t[i : i + 3]) for i in range(max(len(t) - 2, 1))} for t in (texts[r.duplicate_index], texts[r.matched_index]))
+        assert len(a & b) / len(a | b) > 0.6
 
 
 def test_named_model_needs_its_library():
@@ -254,7 +284,7 @@ def test_command_line(spark, tmp_path, capsys):
     lines = str(tmp_path / "p/train/train.jsonl")
     main(
         ["dedup", "--input", lines, "--output-dir", str(tmp_path / "d"), "--config", str(config)]
-        + ["--similarity-threshold", "0.9"]
+        + ["--similarity-threshold", "0.9", "--model-name-or-path", HASHED_MODEL]
     )
     report = json.loads(capsys.readouterr().out)
     assert report["config"]["text_mode"] == "all_user"
