@@ -54,6 +54,9 @@ MIN_TILE_ROWS = 256
 ROWS_PER_PRODUCT = 512
 CELLS_PER_CORE = 4
 
+# Fewer rows are not worth a group of their own.
+MIN_GROUP_ROWS = 2048
+
 # Slack for rounding in the pruning test, and digits at which two scores count as equal.
 PRUNING_SLACK = 1e-6
 SCORE_DIGITS = 12
@@ -79,7 +82,8 @@ def plan_tiling(
     )
     tiles = max(1, math.ceil(rows / tile_rows))
     most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // width))
-    groups = min(tiles, max(wanted, math.ceil(rows * width / GROUP_BYTES)))
+    worth = max(1, math.ceil(rows / (2 * requested_rows if requested_rows else MIN_GROUP_ROWS)))
+    groups = min(tiles, max(min(wanted, worth), math.ceil(rows * width / GROUP_BYTES)))
     return Tiling(rows, tile_rows, min(most_pivots, tiles), groups)
 
 
