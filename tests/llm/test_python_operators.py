@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -45,13 +46,21 @@ def table(spark, name):
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t.,'aÉß")), max_size=60))
 def test_cached_ids_equal_the_tokenizers(text):
     plain = encoder()._tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder().id_bytes([text])[0], "<u2").tolist() == plain
+    assert cached([text]) == [plain]
+
+
+def cached(texts):
+    found = []
+    for ids, ends in encoder().ids(pa.array(texts, pa.string())):
+        found += [part.tolist() for part in np.split(ids, ends)[:-1]]
+    return found
 
 
 def test_cached_ids_of_special_texts():
-    for text in ("<|endoftext|> a<|startoftext|>b", "it's We'LL", "Σ ΑΣ İ ﬁ é é", "x\x1cy z"):
-        plain = encoder()._tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder().id_bytes([text])[0], "<u2").tolist() == plain
+    texts = ["<|endoftext|> a<|startoftext|>b", "it's We'LL", "Σ ΑΣ İ ﬁ e\u0301 é", "x\x1cy z", "", None]
+    texts += ["word word", "a\x0bb\x0cc\r\nd"]
+    plain = [encoder()._tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert cached(texts) == plain
 
 
 # 1 WARC
