@@ -9,7 +9,8 @@ collision threshold is verified with its exact score. A query ends when its k-th
 distance lies inside the radius; once windows hold everything, every vector has been verified, so
 the search can never come back with too few.
 
-All rows are indexed, in segments of about ``SEGMENT_ROWS`` random rows; queries come in blocks.
+All rows are indexed, those that repeat an id and vector as one, in segments of about
+``SEGMENT_ROWS`` random rows; queries come in blocks.
 One unit of work is a segment and a block: it builds the segment's arrays and keeps the best k for
 each query of the block; the best of those are merged. Nothing that grows with the data is held in
 one place.
@@ -171,14 +172,17 @@ def nearest(
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query among all rows of ``vec_id``, ``embedding``."""
+    # Repeated rows are one before they are counted, dealt to segments and take one of k places.
     rows = (
         vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         .select(
             F.col("vec_id").cast("bigint").alias("id"),
             F.col("embedding").alias("vector"),
-            F.size("embedding").alias("dim"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         )
+        .groupBy("id", "vector")
+        .agg(F.max("asks").alias("asks"))
+        .withColumn("dim", F.size("vector"))
     )
     counts = rows.agg(F.count(F.lit(1)), F.coalesce(F.count_if("asks"), F.lit(0))).first()
     segments, blocks = -(-counts[0] // segment_rows) or 1, -(-counts[1] // query_rows) or 1
@@ -205,11 +209,10 @@ def nearest(
     found = units.sortWithinPartitions(*_UNIT, "role").mapInArrow(
         lambda batches: _search_units(batches, k), _FOUND
     )
-    # At most k rows for each query and segment; a row that was repeated counts once.
+    # At most k rows for each query and segment.
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        found.distinct()
-        .withColumn("rank", F.row_number().over(order).cast("int"))
+        found.withColumn("rank", F.row_number().over(order).cast("int"))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

@@ -292,6 +292,31 @@ def test_nearest_of_awkward_vectors(spark):
     assert op5_neighbours.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"segment_rows": 100, "query_rows": 7}])
+def test_nearest_of_a_table_of_repeated_rows(spark, options):
+    """Every row 25 times, and one row as often as a third of all."""
+    rows = [(row.vec_id, row.embedding) for row in table(spark, "embeddings").where("vec_id < 300").collect()]
+    ids, matrix = np.array([row[0] for row in rows]), np.array([row[1] for row in rows], dtype=np.float64)
+    repeated = [row for row in rows for _ in range(25)] + [rows[1]] * (len(rows) * 12)
+    random.Random(4).shuffle(repeated)
+    frame = spark.createDataFrame(repeated, "vec_id bigint, embedding array<float>").repartition(5)
+    got = defaultdict(list)
+    for row in op5_neighbours.nearest(frame, F.col("vec_id") % 20 == 0, **options).collect():
+        got[row.query_id].append(row)
+    assert set(got) == {i for i in ids.tolist() if i % 20 == 0}
+    hits = 0
+    for query, found in got.items():
+        scores = matrix @ matrix[np.flatnonzero(ids == query)[0]]
+        scores[ids == query] = -np.inf
+        best = set(ids[np.lexsort((ids, -scores))[:20]].tolist())
+        found.sort(key=lambda row: row["rank"])
+        assert [row["rank"] for row in found] == list(range(1, 21))
+        assert len({row.vec_id for row in found}) == 20
+        assert all(row.score == pytest.approx(scores[ids == row.vec_id][0], abs=1e-12) for row in found)
+        hits += len(best & {row.vec_id for row in found})
+    assert hits / (20 * len(got)) >= 0.9
+
+
 # 6 Toxicity
 
 
