@@ -6,7 +6,7 @@ the values of its format:
 
 * digit strings (cards, phone and social security numbers) go through a Feistel network of modular
   additions over their digits; a card keeps its issuer digit and how far its check digit is off;
-* addresses (IPv4) go through the same over (first two bytes, last two bytes), first byte 1 to 223;
+* addresses (IPv4) go through the same over (first two bytes, last two bytes), first byte 1 to 255;
 * letters and digits of mail addresses go through chained keyed shifts, forward and backward, that
   keep case, script and character class; hosts end in the reserved ``.example``;
 * known given names go to given names of the same gender and script by a keyed rotation; other
@@ -21,8 +21,8 @@ names leaves as a remote chance. The digit permutations also leave no value as i
 would map to itself swaps images with its neighbour.
 
 All of it is DataFrame functions. Edge cases: a null text stays null, an empty one empty; rows that
-repeat get equal results; other columns are kept. Dotted numbers that are no host address (first
-byte 0 or above 223, a byte above 255), digits inside longer digit strings and names without a
+repeat get equal results; other columns are kept. Dotted numbers that are no address (first
+byte 0, a byte above 255), digits inside longer digit strings and names without a
 title or a known given name are left alone.
 """
 
@@ -61,7 +61,7 @@ _BEFORE = r"(?<![\p{L}\p{N}.+-])"
 _AFTER = r"(?![\p{L}\p{N}]|[.-]\d)"
 _BYTE = r"(?:\d|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])"
 NUMBERS = {
-    "ipv4": rf"(?:[1-9]|[1-9]\d|1\d\d|2[01]\d|22[0-3])(?:\.{_BYTE}){{3}}",
+    "ipv4": rf"(?:[1-9]|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])(?:\.{_BYTE}){{3}}",
     "card": r"(?:[3-6]\d{15}|3[47]\d{13}|[3-6]\d{3}(?:(?: \d{4}){3}|(?:-\d{4}){3}))",
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "phone": (
@@ -243,7 +243,7 @@ def _address(entity: Column, key: str) -> Column:
         permuted = _feistel(
             (byte(1) - 1) * 256 + byte(2),
             byte(3) * 256 + byte(4),
-            F.lit(223 * 256).cast("bigint"),
+            F.lit(255 * 256).cast("bigint"),
             F.lit(65536).cast("bigint"),
             key,
             F.lit("ipv4"),

@@ -233,3 +233,16 @@ def test_replaced_text_keeps_everything_around(spark):
     assert row.text.split()[0] == row.text.split()[-1] != "a@x.com"
     assert row.n_chars == len(row.text)
     assert row.entity_kinds == ["email", "ipv4", "phone", "email"]
+
+
+def test_addresses_of_every_first_byte(spark):
+    """First bytes 1 to 255, the upper ones too, have surrogates of their own."""
+    texts = [f"at {first}.254.104.120, {first}.0.0.{first % 2}" for first in range(1, 256)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = pii.replace_entities(df).collect()
+    assert all(row.entity_kinds == ["ipv4", "ipv4"] for row in rows)
+    new = [address for row in rows for address in re.findall(r"[\d.]+", row.text)]
+    assert len(set(new)) == len(new) == 510
+    assert all(1 <= int(a.split(".")[0]) and all(int(b) <= 255 for b in a.split(".")) for a in new)
+    assert max(int(a.split(".")[0]) for a in new) > 223
+    assert not set(new) & {address for text in texts for address in re.findall(r"\d[\d.]+\d", text)}
