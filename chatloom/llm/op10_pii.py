@@ -5,7 +5,8 @@ computed from the entity and a secret key alone. Every part of a surrogate is a
 the values of its format:
 
 * digit strings (cards, phone and social security numbers) go through a Feistel network of modular
-  additions over their digits; a card keeps its issuer digit and how far its check digit is off;
+  additions over their digits; a card keeps its issuer digit (two of 14 or 15
+  digits, four of the 2 series) and how far its check digit is off;
 * addresses (IPv4) go through the same over (first two bytes, last two bytes), first byte 1 to 255;
 * letters and digits of mail addresses go through chained keyed shifts, forward and backward, that
   keep case, script and character class; hosts end in the reserved ``.example``;
@@ -23,7 +24,9 @@ would map to itself swaps images with its neighbour.
 All of it is DataFrame functions. Edge cases: a null text stays null, an empty one empty; rows that
 repeat get equal results; other columns are kept. Dotted numbers that are no address (first
 byte 0, a byte above 255), digits inside longer digit strings and names without a
-title or a known given name are left alone.
+title or a known given name are left alone. Cards of 16 digits that begin with 3 to 6, and of 15
+that begin with 34 or 37, are taken as they are; other lengths from 13 to 19 and the 2 series need
+a valid check digit.
 """
 
 from __future__ import annotations
@@ -60,13 +63,24 @@ _GIVEN = "|".join(name for names in GIVEN.values() for name in names)
 _BEFORE = r"(?<![\p{L}\p{N}.+-])"
 _AFTER = r"(?![\p{L}\p{N}]|[.-]\d)"
 _BYTE = r"(?:\d|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])"
+# Cards that need no valid check digit, and those that do.
+_CARD = (
+    r"(?:[3-6]\d{15}|3[47]\d{13}|[3-6]\d{3}(?:(?: \d{4}){3}|(?:-\d{4}){3})"
+    r"|3[47]\d\d(?: \d{6} |-\d{6}-)\d{5})"
+)
+_SERIES_2 = r"(?:222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)"
+_CHECKED_CARD = (
+    rf"(?:[3-6]\d{{12,18}}|{_SERIES_2}(?:\d{{12}}|(?: \d{{4}}){{3}}|(?:-\d{{4}}){{3}})"
+    r"|3[0689]\d\d(?: \d{6} |-\d{6}-)\d{4})"
+)
 NUMBERS = {
     "ipv4": rf"(?:[1-9]|[1-9]\d|1\d\d|2[0-4]\d|25[0-5])(?:\.{_BYTE}){{3}}",
-    "card": r"(?:[3-6]\d{15}|3[47]\d{13}|[3-6]\d{3}(?:(?: \d{4}){3}|(?:-\d{4}){3}))",
+    "card": rf"(?:{_CARD}|{_CHECKED_CARD})",
     "ssn": r"\d{3}-\d{2}-\d{4}",
     "phone": (
-        r"(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
-        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){3,5})"
+        r"(?:(?:\+\d{1,3}[ .-]?|1[ .-]|1(?=\())?"
+        r"(?:\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})"
+        r"|\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}|1?[2-9]\d{9})"
     ),
 }
 # The first character is tested before anything else, and runs are possessive, so text without
@@ -209,10 +223,13 @@ def _card(entity: Column, key: str) -> Column:
         size = F.char_length(digits)
         payload = F.substring(digits, F.lit(1), size - 1)
         off = F.substring(digits, -1, 1).cast("int") - _check_digit(payload) + 10
+        kept = F.when(digits.startswith("2"), 4).when(size.isin(14, 15), 2).otherwise(1)
         return _let(
             F.concat(
-                F.substring(digits, 1, 1),
-                _permute_digits(F.substring(digits, F.lit(2), size - 2), key, F.lit("card")),
+                F.substring(digits, F.lit(1), kept),
+                _permute_digits(
+                    F.substring(digits, kept + 1, size - kept - 1), key, F.lit("card")
+                ),
             ),
             lambda new: F.concat(new, ((_check_digit(new) + off) % 10).cast("string")),
         )
@@ -364,10 +381,10 @@ def entity_kind(entity: Column) -> Column:
     size = F.char_length(_digits(entity))
     return (
         F.when(entity.contains("@"), "email")
-        .when(entity.rlike(r"^\d+(?:\.\d+){3}$"), "ipv4")
+        .when(entity.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ipv4")
         .when(entity.rlike(r"^\p{L}"), "name")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(entity.rlike(r"^[3-6]") & size.isin(15, 16), "card")
+        .when(entity.rlike(r"^[2-6]") & size.between(13, 19), "card")
         .otherwise("phone")
     )
 
@@ -385,8 +402,24 @@ def surrogate(entity: Column, key: str = KEY) -> Column:
     )
 
 
+def _is_entity(match: Column) -> Column:
+    """Whether a match of the pattern is one: some cards need a valid check digit."""
+
+    def valid(digits: Column) -> Column:
+        payload = F.substring(digits, F.lit(1), F.char_length(digits) - 1)
+        return _check_digit(payload) == F.substring(digits, -1, 1).cast("int")
+
+    unsure = match.rlike(f"^{_CHECKED_CARD}$") & ~match.rlike(f"^{_CARD}$")
+    return F.when(unsure, _let(_digits(match), valid)).otherwise(True)
+
+
 def detected(text: Column) -> Column:
     """The entities of a text in order."""
+    return F.filter(_matches(text), _is_entity)
+
+
+def _matches(text: Column) -> Column:
+    """What the pattern finds in a text, in order."""
     # Every entity has a digit, an @ or a capital behind a space; most texts are tested only for it.
     return F.when(
         text.rlike(r"[0-9@]|\p{Lu}[\p{L}-]*+\.? \p{Lu}"),
@@ -394,16 +427,20 @@ def detected(text: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def replaced(text: Column, entities: Column, key: str = KEY) -> Column:
-    """``text`` with each of its ``detected`` entities replaced."""
+def replaced(text: Column, matches: Column, key: str = KEY) -> Column:
+    """``text`` with those of its ``matches`` that are entities replaced."""
+
+    def new(match: Column) -> Column:
+        return F.when(_is_entity(match), surrogate(match, key)).otherwise(match)
+
     pieces = F.zip_with(
         F.split(text, ENTITY, -1),
-        entities,
-        lambda piece, entity: F.concat(
-            piece, F.when(entity.isNull(), F.lit("")).otherwise(surrogate(entity, key))
+        matches,
+        lambda piece, match: F.concat(
+            piece, F.when(match.isNull(), F.lit("")).otherwise(new(match))
         ),
     )
-    return F.when(F.size(entities) > 0, F.array_join(pieces, "")).otherwise(text)
+    return F.when(F.size(matches) > 0, F.array_join(pieces, "")).otherwise(text)
 
 
 def normal_entity(entity: Column) -> Column:
@@ -411,7 +448,7 @@ def normal_entity(entity: Column) -> Column:
 
     def normal(value: Column) -> Column:
         kind = entity_kind(value)
-        digits = F.regexp_replace(value, r"^\+1(?=\D)|[^0-9]", "")
+        digits = F.regexp_replace(value, r"^\+?1(?=\D|\d{10}$)|[^0-9]", "")
         return F.concat_ws(
             ":",
             kind,
@@ -454,20 +491,21 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, ``n_chars`` of the new text where that column is there,
     and the array ``entity_kinds`` of what was replaced (instead of any column of that name)."""
     columns = [name for name in docs.columns if name != "entity_kinds"]
-    entities = fresh("entities", columns)
-    found = docs.select(*columns, detected(F.col("text")).alias(entities))
-    done = found.withColumn("text", replaced(F.col("text"), F.col(entities), key))
+    matches = fresh("matches", columns)
+    found = docs.select(*columns, _matches(F.col("text")).alias(matches))
+    done = found.withColumn("text", replaced(F.col("text"), F.col(matches), key))
     if "n_chars" in columns:
         # Kept as it was where nothing was replaced.
         done = done.withColumn(
             "n_chars",
-            F.when(F.size(entities) > 0, F.char_length("text").cast("bigint")).otherwise(
+            F.when(F.size(matches) > 0, F.char_length("text").cast("bigint")).otherwise(
                 F.col("n_chars")
             ),
         )
     return done.select(
         *columns,
         F.transform(
-            F.coalesce(F.col(entities), F.array().cast("array<string>")), entity_kind
+            F.filter(F.coalesce(F.col(matches), F.array().cast("array<string>")), _is_entity),
+            entity_kind,
         ).alias("entity_kinds"),
     )

@@ -246,3 +246,35 @@ def test_addresses_of_every_first_byte(spark):
     assert all(1 <= int(a.split(".")[0]) and all(int(b) <= 255 for b in a.split(".")) for a in new)
     assert max(int(a.split(".")[0]) for a in new) > 223
     assert not set(new) & {address for text in texts for address in re.findall(r"\d[\d.]+\d", text)}
+
+
+OTHER_FORMS = {
+    "card": ["2221000000000009", "2720 9999 9999 9996", "2223-0031-2200-3222", "30569309025904",
+             "3852 000002 3237", "3782 822463 10005", "3714-496353-98431", "4222222222222", "6304000000000000000"],
+    "phone": ["1-555-123-4567", "1 (555) 123-4567", "(555)-123-4567", "(555)1234567", "5551234567", "15551234567"],
+}
+NO_CARDS = ["2221000000000008", "2720 9999 9999 9997", "30569309025905", "2721000000000004", "4222222222223"]
+
+
+def test_other_forms_of_cards_and_phones(spark):
+    forms = [(kind, e, f"x {e}, y") for kind, own in OTHER_FORMS.items() for e in own]
+    rows = pii.replace_entities(spark.createDataFrame(forms, "kind string, entity string, text string")).collect()
+    digits = lambda text: re.sub(r"\D", "", text)
+    new = {}
+    for row in rows:
+        new[row.entity] = row.text[2:-3]
+        assert row.entity_kinds == [row.kind], row
+        assert new[row.entity] != row.entity
+        assert re.sub(r"\d", "9", new[row.entity]) == re.sub(r"\d", "9", row.entity)
+        if row.kind == "card":
+            assert luhn(new[row.entity]) and luhn(row.entity)
+            assert row.entity[0] != "2" or 2221 <= int(digits(new[row.entity])[:4]) <= 2720
+    assert {digits(v)[-10:] for k, v in new.items() if k in OTHER_FORMS["phone"]} == {digits(new["5551234567"])}
+    again = spark.createDataFrame([(f"x {e}, y",) for e in new.values()], "text string")
+    kinds = [row.kind for row in rows]
+    assert [k for r in pii.replace_entities(again).collect() for k in r.entity_kinds] == kinds
+    kept = " | ".join(NO_CARDS)
+    row = pii.replace_entities(spark.createDataFrame([(f"{kept} | 1.2.3.4 {kept}",)], "text string")).first()
+    assert row.entity_kinds == ["ipv4"] and row.text.startswith(f"{kept} | ") and row.text.endswith(f" {kept}")
+    entities = spark.createDataFrame([(e,) for own in OTHER_FORMS.values() for e in own], "entity string")
+    assert pii.surrogate_collisions(entities).isEmpty()
