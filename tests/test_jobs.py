@@ -302,3 +302,48 @@ def test_stream(spark, tmp_path):
     rejected = read_lines(spark, tmp_path / "out/outcome=rejected")
     assert sorted(r["error"][:12] for r in rejected) == ["Conversation", "Invalid JSON"]
     assert spark.read.text(str(tmp_path / "out")).where(F.col("outcome") == "valid").count() == 1
+
+
+@pytest.mark.parametrize("fast", [True, False])
+def test_named_model_sees_the_tail_of_a_text_without_blanks(monkeypatch, fast):
+    """A stand-in for the library: a token for each character, texts cut at the model's window."""
+    import sys
+    import types
+
+    seen = []
+
+    class Tokenizer:
+        is_fast = fast
+
+        def num_special_tokens_to_add(self):
+            return 2
+
+        def __call__(self, text, return_offsets_mapping=False, **options):
+            places = [place for place, char in enumerate(text) if not char.isspace()]
+            found = {"input_ids": [ord(text[place]) for place in places]}
+            return found | ({"offset_mapping": [(p, p + 1) for p in places]} if return_offsets_mapping else {})
+
+    class SentenceTransformer:
+        def __init__(self, name, **options):
+            self.tokenizer = Tokenizer()
+
+        def encode(self, texts, **options):
+            vectors = np.zeros((len(texts), 512), dtype=np.float32)
+            for row, text in enumerate(texts):
+                ids = self.tokenizer(text)["input_ids"]
+                seen.append(len(ids))
+                for number in ids[: self.max_seq_length - 2]:
+                    vectors[row, number % 512] += 1
+            return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+    library = types.SimpleNamespace(SentenceTransformer=SentenceTransformer)
+    monkeypatch.setitem(sys.modules, "sentence_transformers", library)
+    params = DedupParams(model_name_or_path="some-model")
+    opening = "\u4e00\u4e8c\u4e09" * 170
+    texts = [opening + "\u4eba" * 900, opening + "\u5927" * 900, "short text", opening + "\u4eba" * 900]
+    first, second, short, again = sentence_encoder(params)(np.array(texts))
+    assert max(seen) <= params.max_seq_length - 2
+    assert first @ second < 0.5 and first @ again == pytest.approx(1, abs=1e-5)
+    assert np.linalg.norm(short) == pytest.approx(1, abs=1e-5)
+    # Windows count by their tokens: the tail has 900 of 1,410.
+    assert first[ord("\u4eba") % 512] > first[ord("\u4e00") % 512]
