@@ -16,6 +16,7 @@ from chatloom.llm import (
     op8_resharding,
     op9_mixing,
     op10_pii,
+    op11_best_fit,
 )
 from chatloom.llm.common import table
 
@@ -68,6 +69,10 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", "n_chars", "entity_kinds")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_best_fit.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_token_rollup": op2_token_rollup,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_resharded_documents": op8_resharded_documents,
     "op9_mix_sources": op9_mix_sources,
     "op10_surrogates": op10_surrogates,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 ORACLES = {
