@@ -17,6 +17,7 @@ from chatloom.llm import (
     op9_mixing,
     op10_pii,
     op11_best_fit,
+    op12_alignment,
 )
 from chatloom.llm.common import table
 
@@ -73,6 +74,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_best_fit.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_alignment.link_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_token_rollup": op2_token_rollup,
@@ -85,6 +90,7 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_surrogates": op10_surrogates,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLES = {
