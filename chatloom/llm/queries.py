@@ -18,6 +18,7 @@ from chatloom.llm import (
     op10_pii,
     op11_best_fit,
     op12_alignment,
+    op13_collocations,
 )
 from chatloom.llm.common import table
 
@@ -78,6 +79,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_alignment.link_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_archives": op1_warc_archives,
     "op2_token_rollup": op2_token_rollup,
@@ -91,9 +96,11 @@ QUERIES = {
     "op10_surrogates": op10_surrogates,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_token_alignment": op12_token_alignment,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLES = {
     "op1_warc_archives": op1_warc.WARC_SQL,
     "op9_mix_sources": op9_mixing.MIX_SQL,
+    "op13_phrase_collocations": op13_collocations.COLLOCATION_SQL,
 }

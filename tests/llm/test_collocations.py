@@ -1,0 +1,125 @@
+"""Collocations against a plain count of all phrases, and against SQL."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from compare import duckdb_bag, spark_bag
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from chatloom.llm import op13_collocations, queries
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows, min_count, max_words, top):
+    counts, sizes = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = tuple(re.findall(r"[^\x20\x09]+", piece))
+            sizes[lang] += len(words)
+            for length in range(1, max_words + 1):
+                for at in range(len(words) - length + 1):
+                    counts[lang, words[at : at + length]] += 1
+    candidates = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= min_count}
+    found = {}
+    for (lang, words), a in candidates.items():
+        inside = any(
+            other == lang and len(longer) > len(words) and 100 * b >= 100 * a
+            and any(longer[at : at + len(words)] == words for at in range(len(longer)))
+            for (other, longer), b in candidates.items()
+        )
+        if inside:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            l, r = counts[lang, words[:k]], counts[lang, words[k:]]  # noqa: E741
+            cuts.append((1000 * a * sizes[lang] // (l * r), k, l, r))
+        score, _, l, r = min(cuts)  # noqa: E741
+        found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), l, r))
+    return sorted(
+        (lang, rank, phrase.decode(), -a, l, r, sizes[lang], -score)
+        for lang, rows in found.items()
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(rows)[:top], 1)
+    )
+
+
+def found(spark, rows, min_count, max_words=5, top=2000, parts=3):
+    docs = spark.createDataFrame([(*row, "x") for row in rows], "lang string, text string, n string")
+    result = op13_collocations.collocations(docs.repartition(parts), min_count, max_words, top)
+    return sorted(tuple(row) for row in result.collect())
+
+
+ROWS = [
+    ("en", "the cat sat. The cat sat, the dog sat\nthe cat ran"), ("en", "the cat sat"), (None, "a b a b a b"),
+    (None, None), ("en", ""), (None, "A\tB  a b"), ("und", "a b"), ("de", "Über über ÜBER über"), ("", "x y x y"),
+    ("en", "the the the the the the"), ("en", " \t\n.,;"), ("fr", "\x1fc d \x1fc d é è é è\x0bé è"),
+]
+
+
+@pytest.mark.parametrize("min_count", [1, 2, 3])
+def test_small_texts(spark, min_count):
+    assert found(spark, ROWS, min_count) == plain(ROWS, min_count, 5, 2000)
+    assert found(spark, ROWS, min_count, 3, 2, 1) == plain(ROWS, min_count, 3, 2)
+
+
+WORDS = st.sampled_from(["a", "b", "c", "B", "d.", ",e", "é"])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.lists(WORDS, max_size=60).map(" ".join)), max_size=8))
+def test_any_texts(spark, rows):
+    assert found(spark, rows, 2) == plain(rows, 2, 5, 2000)
+
+
+def test_calls_and_batches_are_added_up(spark, monkeypatch):
+    monkeypatch.setattr(op13_collocations, "CALL_BYTES", 40)
+    monkeypatch.setattr(op13_collocations, "HELD_CELLS", 3)
+    docs = spark.createDataFrame(ROWS, "lang string, text string").coalesce(1)
+    first = list(op13_collocations._first_scan(iter([docs.toArrow().to_batches()[0]])))
+    counts = Counter()
+    for batch in first:
+        for row in batch.to_pylist():
+            if row["block"] is None:
+                counts[row["lang"], row["word"]] += row["f"]
+    assert counts["en", "the"] == 11 and counts["de", "über"] == 2 and counts["de", "Über"] == 2
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 9_000_000_019
+    phrases = spark.createDataFrame([("en", "p q", big)], op13_collocations.PHRASES)
+    words = spark.createDataFrame(
+        [("en", "p", big + 2), ("en", "q", big + 7)], "lang string, word string, f bigint"
+    )
+    sizes = spark.createDataFrame([("en", 10**15 + 3)], "lang string, n bigint")
+    row = op13_collocations.score_phrases(phrases, words, sizes).first()
+    assert row.score == 1000 * big * (10**15 + 3) // ((big + 2) * (big + 7))
+
+
+def test_one_phrase_with_a_third_of_all_words(spark):
+    rows = [("en", "hot pair " * 400)] * 3 + [("en", f"w{n} hot pair v{n % 7}") for n in range(600)]
+    assert found(spark, rows, 100, parts=8) == plain(rows, 100, 5, 2000)
+
+
+def test_query_agrees_with_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    result = queries.QUERIES["op13_phrase_collocations"](spark, sf)
+    assert {kind for name, kind in result.dtypes if name not in ("lang", "phrase")} == {"bigint"}
+    mine = spark_bag(result)
+    assert sum(mine[1].values()) > 50
+    assert mine == duckdb_bag(sf, queries.ORACLES["op13_phrase_collocations"])
+
+
+def test_awkward_and_no_documents(awkward, no_documents):
+    rows = [(row.lang, row.text) for row in awkward.select("lang", "text").collect()]
+    result = op13_collocations.collocations(awkward, 2)
+    assert sorted(tuple(row) for row in result.collect()) == plain(rows, 2, 5, 2000)
+    assert op13_collocations.collocations(no_documents).count() == 0
+    with pytest.raises(ValueError):
+        op13_collocations.collocations(no_documents, 0)
+    assert result.where(F.col("rank") < 1).count() == 0
