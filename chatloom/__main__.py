@@ -12,6 +12,7 @@ from chatloom.operators.embed import Encoder
 from chatloom.params import (
     BAD_RECORD_MODES,
     DEDUP_FIELDS,
+    MATCHING_MODES,
     RECORD_FORMATS,
     TEXT_MODES,
     DedupParams,
@@ -50,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     prepare.add_argument("--dedup-compare-chunk-size", dest="compare_chunk_size", type=int)
     prepare.add_argument("--dedup-device", dest="device")
     prepare.add_argument("--dedup-max-seq-length", dest="max_seq_length", type=int)
+    prepare.add_argument("--dedup-matching", dest="matching", choices=MATCHING_MODES)
+    prepare.add_argument("--dedup-recall", dest="recall", type=float)
     prepare.set_defaults(run=_prepare)
 
     dedup = jobs.add_parser("dedup", help="remove copies and near copies")
@@ -63,6 +66,8 @@ def _parser() -> argparse.ArgumentParser:
     dedup.add_argument("--device")
     dedup.add_argument("--max-seq-length", type=int)
     dedup.add_argument("--trust-remote-code", action=argparse.BooleanOptionalAction, default=None)
+    dedup.add_argument("--matching", choices=MATCHING_MODES)
+    dedup.add_argument("--recall", type=float)
     dedup.set_defaults(run=_dedup)
     return parser
 
@@ -102,7 +107,7 @@ def _prepare(spark: SparkSession, options: argparse.Namespace) -> None:
     _show(result.stats.first().asDict(recursive=True))
     errors = result.errors.collect()
     if errors:
-        print("Skipped invalid records:")
+        print("Records that were left out, with their first error:")
     for row in errors:
         print(f"- {row.message}")
 

@@ -8,15 +8,21 @@ How the work is spread
 ----------------------
 * Of rows with identical vectors only the first is offered as a match; all of them look for one.
   That holds for vectors of any length, because equal vectors have equal scores with every row.
-* Rows live at the most similar of some pivot rows. Partitions are cut into tiles of bounded size,
-  and consecutive tiles form groups. Each pair of groups is a cell, and a row is sent to the cells of
-  its group: about sqrt(2 * cells) copies, whatever the data look like, unless memory asks for more
-  groups.
-* The largest angle between a partition's rows and its pivot bounds the score of every pair of
-  partitions. Cells without a pair that could reach the threshold are left out, and inside a cell
-  the same test with the tiles' own centres decides which tiles are multiplied.
-* A cell holds one group and streams the other. It emits at most one candidate per row, never the
-  pairs; a partial aggregation keeps the best candidate.
+* Some rows serve as centres in two levels: a row lives at a leaf, found through the pivot that the
+  leaf belongs to. Leaves are cut into tiles of bounded size in the order of the tree, and
+  consecutive tiles form groups, so a group holds neighbouring leaves.
+* The rows of a leaf are told apart by rings of angles to its centre, so that far rows don't widen the
+  reach of near ones. A row's own angle to the centre and the interval of a ring's angles say whether
+  the ring can hold a row that is close enough; whole pivots are ruled out first. So every row finds
+  the groups that it has to meet by itself, from tables as large as the tree, and is sent to the
+  cells of its own group with each of them. Nothing lists pairs of groups.
+* Inside a cell the same test with the tiles' own centres decides which tiles are multiplied. A cell
+  holds one group and streams the other. It emits at most one candidate per row, never the pairs; a
+  partial aggregation keeps the best candidate.
+* Where one set looks for matches in another, only the offered rows live in the tree. The asking rows
+  are dealt to parts by a hash and stream past the groups in their reach; two offered tiles never
+  meet.
+* A table that fits one group is compared in one cell, without a tree.
 """
 
 from __future__ import annotations
@@ -44,11 +50,26 @@ _MATCH_FIELDS = [
 ]
 
 # Bounds that hold for any input size: bytes of vectors in one tile and in one group of tiles, bytes
-# of all pivots (they are broadcast), number of pivots and of groups.
+# of all pivots and of all leaves (they are broadcast), number of pivots and leaves.
 TILE_BYTES = 32 << 20
 GROUP_BYTES = 128 << 20
 PIVOT_BYTES = 16 << 20
+LEAF_BYTES = 32 << 20
 MAX_PIVOTS = 2048
+MAX_LEAVES = 1 << 16
+# Up to so many leaves are chosen from a larger sample, so that they lie apart.
+SPREAD_LEAVES = 1024
+
+# Rings of a leaf: up to half of the widest angle of two matching rows, up to it, up to twice it, beyond.
+RING_EDGES = (0.5, 1.0, 2.0)
+RINGS = len(RING_EDGES) + 1
+
+# Tasks of the comparison; beyond, a task gets several cells.
+MAX_TASKS = 50_000
+
+# Rows whose reach is found at a time, and bytes of vectors in one batch that is sent on.
+ROWS_PER_REACH = 256
+BATCH_BYTES = 4 << 20
 
 MIN_TILE_ROWS = 256
 ROWS_PER_PRODUCT = 512
@@ -67,24 +88,42 @@ class Tiling:
     rows: int
     tile_rows: int
     pivots: int
+    leaves: int
     groups: int
+    # Parts of the asking rows, where these are a set of their own, and tiles of each part.
+    parts: int = 1
+    part_tiles: int = 1
 
 
 def plan_tiling(
-    rows: int, dimension: int, parallelism: int, requested_rows: int | None = None
-) -> Tiling:
-    """Tiles and groups that give every core some cells and fit the byte bounds."""
+    rows: int, dimension: int, parallelism: int, requested_rows: int | None = None,
+    asking: int | None = None,
+) -> Tiling:
+    """Tiles and groups that give every core some cells and fit the byte bounds.
+
+    ``rows`` are those that live in the tree; ``asking`` the number of a second set.
+    """
     width = 4 * max(dimension, 1)
-    wanted = math.ceil(math.sqrt(2 * CELLS_PER_CORE * parallelism))
+    cells = CELLS_PER_CORE * parallelism
+    few = 2 * requested_rows if requested_rows else MIN_GROUP_ROWS
+    for_memory = math.ceil(rows * width / GROUP_BYTES)
+    if asking is None:
+        wanted, parts = math.ceil(math.sqrt(2 * cells)), 1
+    else:
+        # The product of both counts is the number of cells; copies are fewest in this proportion.
+        wanted = math.ceil(math.sqrt(cells * rows / max(1, asking)))
+        groups = max(1, for_memory, min(wanted, math.ceil(rows / few)))
+        parts = min(math.ceil(cells / groups), max(1, math.ceil(asking / few)))
     for_all_cores = math.ceil(rows / (2 * wanted))
     tile_rows = min(
         max(1, TILE_BYTES // width), requested_rows or max(MIN_TILE_ROWS, for_all_cores)
     )
     tiles = max(1, math.ceil(rows / tile_rows))
-    most_pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // width))
-    worth = max(1, math.ceil(rows / (2 * requested_rows if requested_rows else MIN_GROUP_ROWS)))
-    groups = min(tiles, max(min(wanted, worth), math.ceil(rows * width / GROUP_BYTES)))
-    return Tiling(rows, tile_rows, min(most_pivots, tiles), groups)
+    groups = min(tiles, max(1, min(wanted, math.ceil(rows / few)), for_memory))
+    leaves = min(MAX_LEAVES, max(1, LEAF_BYTES // width), tiles)
+    pivots = min(MAX_PIVOTS, max(1, PIVOT_BYTES // width), math.ceil(math.sqrt(leaves)))
+    part_tiles = max(1, math.ceil((asking or 0) / (parts * tile_rows)))
+    return Tiling(rows, tile_rows, pivots, leaves, groups, parts, part_tiles)
 
 
 def nearest_earlier(
@@ -103,14 +142,18 @@ def nearest_earlier(
     parameters spread the work and do not change the result.
     """
     rows = vectors.select(F.col(index).alias("id"), F.col(vector).alias("vec"))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    tiling = plan_tiling(profile.n_rows, profile.dimension, cores, tile_rows)
     offered = F.lit(True)
-    copies, n_copies = _identical(rows)
-    if n_copies:
-        later = materialize(copies.select("id", F.lit(True).alias("later")), "identical")
-        rows = rows.join(later, "id", "left")
-        offered = F.col("later").isNull()
+    # In one cell identical rows cost nothing that would be worth finding them first.
+    if tiling.groups > 1:
+        copies, n_copies = identical(rows)
+        if n_copies:
+            later = materialize(copies.select("id", F.lit(True).alias("later")), "identical")
+            rows = rows.join(later, "id", "left")
+            offered = F.col("later").isNull()
     flagged = rows.select("id", "vec", F.lit(True).alias("asks"), offered.alias("offered"))
-    return _best_matches(flagged, profile, threshold, True, chunk_rows, tile_rows)
+    return _best_matches(flagged, tiling, profile, threshold, True, chunk_rows)
 
 
 def nearest_between(
@@ -137,18 +180,33 @@ def nearest_between(
         )
         for rows, asks in ((asking, True), (offered, False))
     ]
+    n_asking = asking.count()
+    cores = asking.sparkSession.sparkContext.defaultParallelism
+    tiling = plan_tiling(
+        max(0, profile.n_rows - n_asking), profile.dimension, cores, tile_rows, n_asking
+    )
     both = sides[0].unionByName(sides[1])
-    return _best_matches(both, profile, threshold, False, chunk_rows, tile_rows)
+    return _best_matches(both, tiling, profile, threshold, False, chunk_rows)
 
 
 def _best_matches(
-    flagged: DataFrame, profile: VectorProfile, threshold: float, earlier: bool, chunk_rows: int,
-    tile_rows: int | None,
+    flagged: DataFrame, tiling: Tiling, profile: VectorProfile, threshold: float, earlier: bool,
+    chunk_rows: int,
 ) -> DataFrame:
-    cores = flagged.sparkSession.sparkContext.defaultParallelism
-    tiling = plan_tiling(profile.n_rows, profile.dimension, cores, tile_rows)
-    cosine = min(1.0, threshold / profile.max_norm**2) - PRUNING_SLACK
-    dealt = shipped(flagged, tiling, cosine)
+    cosine = least_cosine(threshold, profile)
+    dealt = shipped(flagged, tiling, cosine, earlier, profile.dimension)
+    return best_candidates(dealt, threshold, cosine, earlier, chunk_rows)
+
+
+def least_cosine(threshold: float, profile: VectorProfile) -> float:
+    """No two rows with a lower cosine reach the threshold."""
+    return min(1.0, threshold / profile.max_norm**2) - PRUNING_SLACK
+
+
+def best_candidates(
+    dealt: DataFrame, threshold: float, cosine: float, earlier: bool, chunk_rows: int
+) -> DataFrame:
+    """The best match of each row over all the cells in which it stands (see ``shipped``)."""
     best = F.max(F.struct(F.col("similarity"), (-F.col("matched_index")).alias("_earliest")))
     return (
         dealt.mapInArrow(
@@ -164,7 +222,7 @@ def _best_matches(
     )
 
 
-def _identical(rows: DataFrame) -> tuple[DataFrame, int]:
+def identical(rows: DataFrame) -> tuple[DataFrame, int]:
     """Rows whose vector an earlier row has, too, and their number.
 
     The key is two 64-bit hashes with different seeds; the vectors themselves are not shuffled.
@@ -173,109 +231,277 @@ def _identical(rows: DataFrame) -> tuple[DataFrame, int]:
     return exact_copies(rows.select("id", hashes.alias("key")), "id")
 
 
-def _pivots(rows: DataFrame, tiling: Tiling) -> np.ndarray:
-    """Unit rows, at most PIVOT_BYTES. Any choice gives the same result; hash order follows the
-    density of the data, so a dense region gets many pivots."""
+@dataclass(frozen=True)
+class Centres:
+    """Leaves in the order of their pivots; those of pivot p are ``starts[p]`` to ``starts[p + 1]``."""
+
+    leaves: np.ndarray
+    pivots: np.ndarray
+    starts: np.ndarray
+
+    def stretches(self) -> Iterator[tuple[int, int, int]]:
+        for pivot in range(len(self.pivots)):
+            start, stop = int(self.starts[pivot]), int(self.starts[pivot + 1])
+            if start < stop:
+                yield pivot, start, stop
+
+    def nearest_leaf(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A leaf for each row, the nearest one of the nearest pivot, and the cosine with it."""
+        homes = np.zeros(len(matrix), dtype=np.int32)
+        leans = np.zeros(len(matrix))
+        lengths = np.linalg.norm(matrix, axis=1)
+        nearest = (matrix @ self.pivots.T).argmax(axis=1) if len(matrix) else homes
+        for pivot, start, stop in self.stretches():
+            rows = np.flatnonzero(nearest == pivot)
+            for begin in range(0, len(rows), ROWS_PER_PRODUCT):
+                some = rows[begin : begin + ROWS_PER_PRODUCT]
+                scores = matrix[some] @ self.leaves[start:stop].T
+                leaf = scores.argmax(axis=1)
+                homes[some] = start + leaf
+                leans[some] = scores[np.arange(len(some)), leaf] / lengths[some]
+        return homes, leans
+
+
+def centres_of(sample: np.ndarray, pivots: int) -> Centres:
+    """Two levels from rows: all are leaves, some of them pivots."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    tops = unit[:: max(1, len(unit) // max(1, pivots))][:pivots]
+    owner = np.concatenate(
+        [
+            (unit[start : start + ROWS_PER_PRODUCT] @ tops.T).argmax(axis=1)
+            for start in range(0, len(unit), ROWS_PER_PRODUCT)
+        ]
+    )
+    order = np.argsort(owner, kind="stable")
+    return Centres(unit[order], tops, np.searchsorted(owner[order], np.arange(len(tops) + 1)))
+
+
+def widest_angle(cosine: float) -> float:
+    """No two rows with a greater angle match."""
+    return math.acos(max(-1.0, min(1.0, cosine))) + PRUNING_SLACK
+
+
+def rings_of(leaves: np.ndarray, leans: np.ndarray, cosine: float) -> np.ndarray:
+    """Numbers of the rings in which rows live, leaf by leaf."""
+    angles = np.arccos(np.clip(leans, -1.0, 1.0))
+    edges = np.array(RING_EDGES) * widest_angle(cosine)
+    return leaves * RINGS + np.searchsorted(edges, angles).astype(np.int32)
+
+
+@dataclass(frozen=True)
+class Places:
+    """Where rows live, and which angles they have there: arrays as long as the tree."""
+
+    centres: Centres
+    nearest: np.ndarray  # least and greatest angle to the leaf's centre, by ring; not finite
+    farthest: np.ndarray  # where no row lives
+    spans: np.ndarray  # of pivots, over all rows of their leaves
+    first: np.ndarray  # number of a ring's first tile; one more entry at the end
+    groups: int
+
+    def group(self, tiles: np.ndarray) -> np.ndarray:
+        return tiles * self.groups // max(1, int(self.first[-1]))
+
+    def tile(self, rings: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.first[rings] + mixed(ids) % (self.first[rings + 1] - self.first[rings])
+
+    def reach(self, matrix: np.ndarray, cosine: float) -> np.ndarray:
+        """Whether each row may have a match in each group."""
+        found = np.zeros((len(matrix), self.groups), dtype=bool)
+        lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+        widest = widest_angle(cosine)
+
+        def angles(rows: np.ndarray | slice, centres: np.ndarray) -> np.ndarray:
+            return np.arccos(np.clip(matrix[rows] @ centres.T / lengths[rows], -1.0, 1.0))
+
+        near = angles(slice(None), self.centres.pivots) <= self.spans + widest
+        for pivot, start, stop in self.centres.stretches():
+            rows = np.flatnonzero(near[:, pivot])
+            rings = np.arange(start * RINGS, stop * RINGS)
+            rings = rings[np.isfinite(self.nearest[rings])]
+            if not len(rows) or not len(rings):
+                continue
+            angle = angles(rows, self.centres.leaves[start:stop])[:, rings // RINGS - start]
+            hit = (angle >= self.nearest[rings] - widest) & (angle <= self.farthest[rings] + widest)
+            lowest, highest = self.group(self.first[rings]), self.group(self.first[rings + 1] - 1)
+            names = np.arange(lowest[0], highest[-1] + 1)
+            holds = (lowest[:, None] <= names) & (names <= highest[:, None])
+            found[np.ix_(rows, names)] |= (hit.astype(np.float32) @ holds.astype(np.float32)) > 0
+        return found
+
+
+def places_of(
+    centres: Centres, sizes: list[tuple[int, int, float, float]], tile_rows: int, groups: int
+) -> Places:
+    """From (ring, rows, least and greatest cosine with the leaf's centre) of rings where rows live."""
+    rings = len(centres.leaves) * RINGS
+    nearest, farthest = np.full(rings, np.inf), np.full(rings, -np.inf)
+    tiles = np.zeros(rings + 1, dtype=np.int64)
+    for ring, rows, least, greatest in sizes:
+        nearest[ring] = math.acos(max(-1.0, min(1.0, greatest))) - PRUNING_SLACK
+        farthest[ring] = math.acos(max(-1.0, min(1.0, least))) + PRUNING_SLACK
+        tiles[ring + 1] = math.ceil(rows / tile_rows)
+    spans = np.full(len(centres.pivots), -np.inf)
+    radii = farthest.reshape(-1, RINGS).max(axis=1, initial=-np.inf)
+    for pivot, start, stop in centres.stretches():
+        lean = np.clip(centres.leaves[start:stop] @ centres.pivots[pivot], -1.0, 1.0)
+        spans[pivot] = (np.arccos(lean) + radii[start:stop]).max() + PRUNING_SLACK
+    first = np.cumsum(tiles)
+    return Places(
+        centres, nearest, farthest, spans, first, max(1, min(groups, int(first[-1])))
+    )
+
+
+def mixed(ids: np.ndarray) -> np.ndarray:
+    """A non-negative number that looks random, from each id."""
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(8)).astype(np.int64)
+
+
+def _sample(rows: DataFrame, tiling: Tiling, dimension: int) -> np.ndarray:
+    """Rows for the leaves, at most LEAF_BYTES. Any choice gives the same result; hash order follows
+    the density of the data, so a dense region gets many."""
+    most = max(1, LEAF_BYTES // (4 * max(1, dimension)))
+    wanted = tiling.leaves if tiling.leaves > SPREAD_LEAVES else min(most, 4 * tiling.leaves)
     # The filter leaves a few times as many candidates as needed, so that their ordering stays small.
-    every = max(1, tiling.rows // (4 * tiling.pivots))
+    every = max(1, tiling.rows // (4 * wanted))
     candidates = rows.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0)
-    chosen = candidates.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(tiling.pivots)
-    pivots = np.array([row.vec for row in chosen.select("vec").collect()], dtype=np.float64)
-    if not len(pivots):
-        return np.zeros((1, 1))
-    return pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
-
-
-def group_pairs(
-    homes: np.ndarray, pivots: np.ndarray, radii: np.ndarray, cosine: float, groups: int
-) -> np.ndarray:
-    """Which groups may hold rows that reach the cosine: ``homes`` lists (group, partition) pairs."""
-    angles = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
-    nearest = np.maximum(0.0, angles - radii[:, None] - radii[None, :])
-    close = np.cos(nearest) >= cosine
-    member = np.zeros((groups, len(pivots)), dtype=np.float32)
-    member[homes[:, 0], homes[:, 1]] = 1.0
-    return (member @ close.astype(np.float32) @ member.T) > 0
-
-
-def shipped(flagged: DataFrame, tiling: Tiling, cosine: float) -> DataFrame:
-    """One row per (cell, vector), sorted by cell, side and tile."""
+    chosen = candidates.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(wanted)
+    return spread_out(matrix_of(chosen.select("vec").toArrow().column(0)), tiling.leaves)
+
+
+def spread_out(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """The first rows for half of the places, then each time the row farthest from all chosen ones:
+    small groups of rows that stand alone get a leaf, too."""
+    if len(sample) <= wanted:
+        return sample
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    chosen = list(range((wanted + 1) // 2))
+    closest = (unit @ unit[chosen].T).max(axis=1)
+    while len(chosen) < wanted:
+        chosen.append(int(closest.argmin()))
+        closest = np.maximum(closest, unit @ unit[chosen[-1]])
+    return sample[chosen]
+
+
+DEALT = (
+    "low long, high long, right boolean, tile long, id long, asks boolean, offered boolean, "
+    "vec array<float>"
+)
+DEALT_NAMES = [field.split()[0] for field in DEALT.split(", ")]
+
+
+def shipped(
+    flagged: DataFrame, tiling: Tiling, cosine: float, earlier: bool = True, dimension: int = 0
+) -> DataFrame:
+    """One row per (cell, vector), sorted by cell, side and tile.
+
+    Rows are all of one set, each asking (``earlier``), or of two, those that ask and those that are
+    offered; then only the offered ones live in the tree.
+    """
     spark = flagged.sparkSession
-    pivots = _pivots(flagged, tiling)
-    shared = spark.sparkContext.broadcast(pivots)
+    lives = F.lit(True) if earlier else F.col("offered")
+    if tiling.groups == 1 and tiling.parts == 1:
+        tiles = max(1, math.ceil(tiling.rows / tiling.tile_rows))
+        right = F.lit(False) if earlier else F.col("asks")
+        one = flagged.select(
+            F.lit(0).cast("long").alias("low"),
+            F.lit(0 if earlier else 1).cast("long").alias("high"), right.alias("right"),
+            F.pmod(F.xxhash64("id"), F.lit(tiles)).alias("tile"), "id", "asks", "offered", "vec",
+        )
+        return one.repartition(1).sortWithinPartitions("low", "high", "right", "tile", "id")
+    sample = _sample(flagged.where(lives), tiling, dimension)
+    if not len(sample):
+        return spark.createDataFrame([], DEALT)
+    centres = spark.sparkContext.broadcast(centres_of(sample, tiling.pivots))
 
     @F.arrow_udf("struct<home:int,lean:double>")
     def place(vectors: pa.Array) -> pa.Array:
-        homes, leans = nearest_pivot(_matrix(vectors), shared.value)
+        leaves, leans = centres.value.nearest_leaf(matrix_of(vectors))
+        homes = rings_of(leaves, leans, cosine)
         return pa.StructArray.from_arrays([pa.array(homes), pa.array(leans)], ["home", "lean"])
 
     routed = materialize(
-        flagged.withColumn("place", place("vec")).select(
+        flagged.where(lives).withColumn("place", place("vec")).select(
             "id", "vec", "asks", "offered", "place.home", "place.lean"
         ),
         "routed",
     )
-    # At most MAX_PIVOTS rows.
-    sizes = sorted(
+    # At most MAX_LEAVES * RINGS rows.
+    sizes = [
         tuple(row)
-        for row in routed.groupBy("home").agg(F.count(F.lit(1)), F.min("lean")).collect()
-    )
-    radii = np.zeros(len(pivots))
-    tiles, total = [], 0
-    for home, rows, lean in sizes:
-        radii[home] = math.acos(max(-1.0, min(1.0, lean))) + PRUNING_SLACK
-        count = math.ceil(rows / tiling.tile_rows)
-        tiles.append((home, total, count))
-        total += count
-    groups = max(1, min(tiling.groups, total))
-    homes = np.array(
-        [(tile * groups // total, home) for home, first, count in tiles for tile in range(first, first + count)]
-    ).reshape(-1, 2)
-    close = group_pairs(homes, pivots, radii, cosine, groups) if len(homes) else np.eye(1)
-    partners = [(group, np.flatnonzero(close[group]).tolist()) for group in range(groups)]
-    places = spark.createDataFrame(tiles, "home int, first long, tiles int")
-    # At most one number for each pair of groups.
-    cells = spark.createDataFrame(partners, "group int, partners array<int>")
-    tile = F.col("first") + F.pmod(F.xxhash64("id"), F.col("tiles"))
-    placed = (
-        routed.join(F.broadcast(places), "home")
-        .withColumn("tile", tile)
-        .withColumn("group", F.floor(F.col("tile") * groups / max(1, total)).cast("int"))
-        .join(F.broadcast(cells), "group")
-        .withColumn("partner", F.explode("partners"))
-    )
-    n_cells = int(np.triu(close).sum())
+        for row in routed.groupBy("home")
+        .agg(F.count(F.lit(1)), F.min("lean"), F.max("lean"))
+        .collect()
+    ]
+    places = places_of(centres.value, sizes, tiling.tile_rows, tiling.groups)
+    shared = spark.sparkContext.broadcast(places)
+    parts = None if earlier else (tiling.parts, tiling.part_tiles)
+    every = routed.drop("lean")
+    if not earlier:
+        asking = flagged.where(~F.col("offered")).withColumn("home", F.lit(-1))
+        every = every.unionByName(asking)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _dealt(batches, shared.value, cosine, parts)
+
+    cells = places.groups * ((places.groups + 1) / 2 if earlier else tiling.parts)
     return (
-        placed.select(
-            F.least("group", "partner").alias("low"),
-            F.greatest("group", "partner").alias("high"),
-            (F.col("group") > F.col("partner")).alias("right"),
-            "tile",
-            "id",
-            "asks",
-            "offered",
-            "vec",
-        )
-        .repartition(max(1, n_cells), "low", "high")
+        every.select("id", "vec", "asks", "offered", "home")
+        .mapInArrow(deal, DEALT)
+        .repartition(max(1, min(MAX_TASKS, math.ceil(cells))), "low", "high")
         .sortWithinPartitions("low", "high", "right", "tile", "id")
     )
 
 
-def nearest_pivot(matrix: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the most similar pivot of each row, and the cosine with it."""
-    homes = np.zeros(len(matrix), dtype=np.int32)
-    leans = np.zeros(len(matrix))
-    for start in range(0, len(matrix), ROWS_PER_PRODUCT):
-        rows = matrix[start : start + ROWS_PER_PRODUCT]
-        scores = rows @ pivots.T
-        home = scores.argmax(axis=1)
-        homes[start : start + len(rows)] = home
-        lengths = np.linalg.norm(rows, axis=1)
-        leans[start : start + len(rows)] = scores[np.arange(len(rows)), home] / lengths
-    return homes, leans
-
-
-def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _dealt(
+    batches: Iterator[pa.RecordBatch], places: Places, cosine: float,
+    asking: tuple[int, int] | None,
+) -> Iterator[pa.RecordBatch]:
+    """Rows once for each of their cells: of their own group and a group in their reach, or with
+    ``asking`` (parts of the asking rows, and tiles of each), of such a part and a group."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_PER_REACH):
+            some = batch.slice(start, ROWS_PER_REACH)
+            ids, asks, homes = (
+                some.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 4)
+            )
+            matrix = matrix_of(some.column(1))
+            guest = homes < 0
+            tiles = np.zeros(len(ids), dtype=np.int64)
+            tiles[~guest] = places.tile(homes[~guest], ids[~guest])
+            own = places.group(tiles)
+            if asking is None:
+                rows, partners = np.nonzero(places.reach(matrix, cosine))
+                low, high = np.minimum(own[rows], partners), np.maximum(own[rows], partners)
+                right = own[rows] > partners
+            else:
+                parts, part_tiles = asking
+                askers, groups = np.nonzero(places.reach(matrix[guest], cosine))
+                askers = np.flatnonzero(guest)[askers]
+                hosts = np.repeat(np.flatnonzero(~guest), parts)
+                every = np.tile(np.arange(parts), int((~guest).sum()))
+                rows = np.concatenate([askers, hosts])
+                low = np.concatenate([mixed(ids[askers]) % parts, every])
+                high = parts + np.concatenate([groups, own[hosts]])
+                right = guest[rows]
+                tiles[guest] = mixed(ids[guest]) // parts % part_tiles
+            step = max(1, BATCH_BYTES // (4 * max(1, matrix.shape[1])))
+            for begin in range(0, len(rows), step):
+                part = slice(begin, begin + step)
+                at = pa.array(rows[part])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(low[part], pa.int64()), pa.array(high[part], pa.int64()),
+                        pa.array(right[part]), pa.array(tiles[rows[part]]),
+                        *(some.column(i).take(at) for i in (0, 2, 3, 1)),
+                    ],
+                    DEALT_NAMES,
+                )
+
+
+def matrix_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -312,6 +538,8 @@ class _Tile:
 def _meet(one: _Tile, two: _Tile, threshold: float, earlier: bool, chunk_rows: int) -> None:
     """Update the best matches of both tiles (of one, if they are the same) from their product."""
     same = one is two
+    if not ((one.asks.any() and two.offered.any()) or (two.asks.any() and one.offered.any())):
+        return
     columns = two.matrix.T
     tie = 0.5 * 10.0**-SCORE_DIGITS
     for start in range(0, len(one.ids), chunk_rows):
@@ -366,9 +594,11 @@ def _compare(
             if held:
                 yield found(held)
             cell, held = (low, high), []
-        for other in held:
-            if other.may_reach(tile, cosine):
-                _meet(other, tile, threshold, earlier, chunk_rows)
+        # In a cell of two groups, pairs within a group are left to other cells, or do not count.
+        if low == high or right:
+            for other in held:
+                if other.may_reach(tile, cosine):
+                    _meet(other, tile, threshold, earlier, chunk_rows)
         if low == high:
             _meet(tile, tile, threshold, earlier, chunk_rows)
         if right:
@@ -388,7 +618,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool,
         names = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
         ids = batch.column(4).to_numpy(zero_copy_only=False)
         asks, offered = (batch.column(i).to_numpy(zero_copy_only=False) for i in (5, 6))
-        matrix = _matrix(batch.column(7))
+        matrix = matrix_of(batch.column(7))
         changes = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
         for start, end in zip([0, *changes], [*changes, len(ids)], strict=True):
             name = tuple(int(part) for part in names[start])

@@ -383,6 +383,12 @@ ORACLES["nearest_earlier_repeated"] = (
     + "SELECT duplicate_index, matched_index, similarity FROM log"
 )
 
+ORACLES["nearest_earlier_approximate"] = (
+    ALL_MATCHES
+    + """SELECT count(*) AS exact_matches, true AS recall_of_nine_tenths,
+                0::BIGINT AS without_counterpart FROM log"""
+)
+
 SPLIT = f"""
 SELECT {{name}} AS id, row_number() OVER (ORDER BY sha256('{SEED}:' || {{name}}))
     <= greatest(1, round_even(count(*) OVER () * {EVAL_RATIO}, 0)) AS held, * FROM {{table}}
@@ -394,6 +400,13 @@ SELECT e.doc_id AS eval_index, min(t.doc_id) AS train_index
 FROM split e JOIN split t ON e.text = t.text AND e.held AND NOT t.held GROUP BY e.doc_id
 """
 
+ORACLES["leakage_rate"] = f"""
+WITH split AS ({SPLIT.format(name="doc_id", table="documents")}),
+leaked AS (SELECT DISTINCT e.doc_id FROM split e JOIN split t ON e.text = t.text AND e.held AND NOT t.held)
+SELECT count(*) FILTER (WHERE held) AS eval_records, (SELECT count(*) FROM leaked) AS leaked_records,
+       round((SELECT count(*) FROM leaked) / greatest(1, count(*) FILTER (WHERE held)), 6) AS leakage_rate
+FROM split
+"""
 ORACLES["leakage_semantic"] = f"""
 WITH split AS ({SPLIT.format(name="vec_id", table=WIDENED)}),
 pairs AS (

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from chatloom.functions import chat
 from chatloom.functions.variant import DUPLICATE_KEYS_CONF, field, parse_strict
 from chatloom.operators.anchors import resolve_anchors
-from chatloom.operators.audit import exact_leakage, semantic_leakage
+from chatloom.operators.approximate import nearest_earlier_approximate as approximate_matches
+from chatloom.operators.audit import exact_leakage, leakage_rate as rate_of_leaks, semantic_leakage
 from chatloom.operators.convert import convert_messages, convert_records, error_sample
 from chatloom.operators.embed import embed
 from chatloom.operators.exact import (
@@ -532,13 +533,53 @@ def nearest_earlier_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def leakage_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evaluation documents whose text the training documents hold as well."""
+def nearest_earlier_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches by bands of sign projections, held against those of the exact join: how many there
+    are, whether at least nine of ten are the same, and how many have no counterpart."""
+    embeddings = _table(spark, sf_dir, "embeddings")
+    vectors = materialize(
+        embeddings.select(F.col("vec_id").alias("row_index"), "embedding"), "approximate"
+    )
+    profile = profile_vectors(vectors)
+    found = approximate_matches(vectors, profile, THRESHOLD, recall=0.97)
+    exact = nearest_earlier(vectors, profile, THRESHOLD)
+    names = ("matched_index", "similarity")
+    both = exact.join(
+        found.select("duplicate_index", *(F.col(name).alias(f"_{name}") for name in names)),
+        "duplicate_index",
+        "full",
+    )
+    same = F.coalesce(
+        (F.col("matched_index") == F.col("_matched_index"))
+        & (F.round("similarity", 9) == F.round("_similarity", 9)),
+        F.lit(False),
+    )
+    return both.agg(
+        F.count("matched_index").alias("exact_matches"),
+        (F.count_if(same) >= 0.9 * F.count("matched_index")).alias("recall_of_nine_tenths"),
+        F.count_if(F.col("matched_index").isNull()).alias("without_counterpart"),
+    )
+
+
+def _leaked_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Leaked rows, and all rows with their side."""
     documents = _table(spark, sf_dir, "documents")
     split = train_eval_split(documents, documents.count(), EVAL_RATIO, SEED, "doc_id")
     keyed = materialize(split.select("doc_id", "split", F.sha2("text", 256).alias("key")), "keys")
     sides = [keyed.where(F.col("split") == side) for side in ("eval", "train")]
-    return exact_leakage(sides[0], sides[1], "doc_id", "key")
+    return exact_leakage(sides[0], sides[1], "doc_id", "key"), keyed
+
+
+@_query
+def leakage_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation documents whose text the training documents hold as well."""
+    return _leaked_documents(spark, sf_dir)[0]
+
+
+@_query
+def leakage_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaked, every = _leaked_documents(spark, sf_dir)
+    return rate_of_leaks(leaked, every.where(F.col("split") == "eval").count())
 
 
 @_query

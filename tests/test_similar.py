@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.anchors import resolve_anchors
 from chatloom.operators.removal import match_log, removal_details
+from chatloom.operators import similar
 from chatloom.operators.similar import (
-    group_pairs,
+    centres_of,
     nearest_between,
     nearest_earlier,
-    nearest_pivot,
+    places_of,
     plan_tiling,
+    rings_of,
     shipped,
 )
 from chatloom.operators.vectors import (
@@ -251,16 +253,109 @@ def test_every_close_pair_meets_in_a_cell():
         matrix = rng.normal(size=(rows, dimension)) + rng.normal(size=dimension) * (trial % 4)
         matrix = unit(matrix).astype(np.float64) * rng.uniform(0.9995, 1.0005, (rows, 1))
         threshold = float(rng.choice([0.05, 0.3, 0.7, 0.92, 0.99, 0.9999, 1.0]))
-        pivots = unit(matrix[rng.choice(rows, int(rng.integers(2, 20)), replace=False)])
-        pivots = pivots.astype(np.float64)
-        pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+        sample = matrix[rng.choice(rows, int(rng.integers(2, 20)), replace=False)]
+        centres = centres_of(sample, int(rng.integers(1, 6)))
+        leaves, leans = centres.nearest_leaf(matrix)
         longest = float(np.linalg.norm(matrix, axis=1).max())
-        homes, leans = nearest_pivot(matrix, pivots)
-        radii = np.zeros(len(pivots))
-        for home, lean in zip(homes, leans):
-            radii[home] = max(radii[home], np.arccos(np.clip(lean, -1, 1)) + 1e-6)
-        pairs = np.array([(i, i) for i in range(len(pivots))])
         cosine = min(1.0, threshold / longest**2) - 1e-6
-        close = group_pairs(pairs, pivots, radii, cosine, len(pivots))
-        for i, j in zip(*np.nonzero(np.triu(matrix @ matrix.T >= threshold, 1))):
-            assert close[homes[i], homes[j]]
+        homes = rings_of(leaves, leans, cosine)
+        # Some rings hold several tiles, some groups several rings.
+        sizes = [
+            (int(ring), int(mine.sum()), float(leans[mine].min()), float(leans[mine].max()))
+            for ring in np.unique(homes)
+            for mine in [homes == ring]
+        ]
+        places = places_of(centres, sizes, int(rng.integers(1, 30)), int(rng.integers(1, 40)))
+        groups = places.group(places.tile(homes, np.arange(rows)))
+        assert groups.min() >= 0 and groups.max() < places.groups
+        reach = places.reach(matrix, cosine)
+        assert reach[np.arange(rows), groups].all()
+        for i, j in zip(*np.nonzero(matrix @ matrix.T >= threshold)):
+            assert reach[i, groups[j]]
+
+
+def test_the_plan_of_a_billion_rows_is_as_long_as_the_tree():
+    tiling = plan_tiling(10**9, 512, 4000)
+    assert tiling.leaves * 512 * 4 <= similar.LEAF_BYTES and tiling.groups >= 15_000
+    rng = np.random.default_rng(5)
+    centres = centres_of(rng.normal(size=(2000, 16)), 45)
+    sizes = [(leaf * similar.RINGS, 500_000, 0.7, 1.0) for leaf in range(2000)]
+    places = places_of(centres, sizes, tiling.tile_rows, tiling.groups)
+    lengths = [len(part) for part in (places.nearest, places.spans, places.first)]
+    assert lengths == [8000, 45, 8001] and places.groups == tiling.groups
+
+
+def test_rows_in_clusters_are_sent_to_few_cells(spark):
+    """Copies of a row follow the clusters in its reach, not the number of groups."""
+    rng = np.random.default_rng(6)
+    centres = unit(rng.normal(size=(30, 24)))
+    most = {}
+    for rows in (1500, 6000):
+        matrix = unit(centres[rng.integers(0, 30, rows)] + 0.01 * rng.normal(size=(rows, 24)))
+        vectors = materialize(frame(spark, matrix), "v")
+        flagged = vectors.select(
+            F.col("row_index").alias("id"), F.col("embedding").alias("vec"),
+            F.lit(True).alias("asks"), F.lit(True).alias("offered"),
+        )
+        tiling = plan_tiling(rows, 24, 2000, requested_rows=rows // 100)
+        assert tiling.groups >= 40
+        copies = shipped(flagged, tiling, 0.92).groupBy("id").count()
+        most[rows] = copies.agg(F.avg("count")).first()[0]
+    assert most[6000] <= 1.5 * most[1500] and most[6000] < 12
+
+
+def counted_products(monkeypatch, dealt, threshold):
+    """How many pairs of rows are multiplied, by side."""
+    products = []
+    meet = similar._meet
+
+    def counting(one, two, *rest):
+        products.append((bool(one.asks.any()), bool(two.asks.any()), len(one.ids) * len(two.ids)))
+        return meet(one, two, *rest)
+
+    monkeypatch.setattr(similar, "_meet", counting)
+    for row in dealt.select("low", "high").distinct().collect():
+        cell = dealt.where((F.col("low") == row.low) & (F.col("high") == row.high))
+        ordered = cell.orderBy("low", "high", "right", "tile", "id").toArrow()
+        list(similar._compare(iter(ordered.to_batches()), threshold, threshold - 1e-6, False, 64))
+    return products
+
+
+def test_two_sets_are_multiplied_once_and_nothing_else(spark, monkeypatch):
+    matrix = clustered(700, dimension=6, seed=8)
+    sides = [
+        frame(spark, part, range(start, start + len(part))).select(
+            F.col("row_index").alias("id"), F.col("embedding").alias("vec"),
+            F.lit(asks).alias("asks"), F.lit(not asks).alias("offered"),
+        )
+        for part, start, asks in ((matrix[:100], 0, True), (matrix[100:], 100, False))
+    ]
+    both = materialize(sides[0].unionByName(sides[1]), "both")
+    tiling = plan_tiling(600, 6, 4, 40, asking=100)
+    assert tiling.groups > 1 and tiling.parts > 1
+    # Nothing can be ruled out at this cosine, so each pair is multiplied exactly once.
+    every = counted_products(monkeypatch, shipped(both, tiling, -1.0, False).cache(), 0.9)
+    assert all(one != two for one, two, _ in every)
+    assert sum(size for *_, size in every) <= 100 * 600
+    monkeypatch.undo()
+    wide = counted_products(monkeypatch, shipped(both, tiling, -1.0, False).cache(), -1.0)
+    assert sum(size for *_, size in wide) == 100 * 600
+    monkeypatch.undo()
+    close = counted_products(monkeypatch, shipped(both, tiling, 0.99, False).cache(), 0.99)
+    assert sum(size for *_, size in close) < 0.6 * 100 * 600
+
+
+@pytest.mark.parametrize("asking, offered", [(0, 30), (30, 0), (1, 30), (30, 1), (3, 197)])
+def test_sets_of_unequal_size(spark, asking, offered):
+    matrix = clustered(asking + offered, seed=9)
+    sides = frame(spark, matrix[:asking].reshape(-1, 8)), frame(spark, matrix[asking:].reshape(-1, 8))
+    profile = profile_vectors(sides[0].unionByName(sides[1]))
+    scores = np.round(matrix[asking:].astype(np.float64) @ matrix[:asking].astype(np.float64).T, 10)
+    wanted = {
+        i: int(scores[:, i].argmax())
+        for i in range(asking)
+        if offered and scores[:, i].max() >= 0.8
+    }
+    for tile_rows in (None, 2):
+        found = nearest_between(*sides, profile, 0.8, tile_rows=tile_rows).collect()
+        assert {r.duplicate_index: r.matched_index for r in found} == wanted
