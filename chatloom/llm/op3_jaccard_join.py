@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import fresh, materialize
+from chatloom.llm.common import fresh, hand_back_memory, materialize
 from chatloom.llm.components import connected_components
 from chatloom.llm.shingles import jaccard, shingle_set
 from chatloom.operators.skew import SALTS, lookup
@@ -100,6 +100,7 @@ def _sketched(trees: int, depth: int):
                 [batch.column(0), batch.column(1), pa.array(found, pa.binary())],
                 ["doc_id", "key", "symbols"],
             )
+        hand_back_memory()
 
     return run
 
@@ -288,6 +289,7 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold, trees, depth, target, t
                     ],
                     names,
                 )
+        hand_back_memory()
 
     return materialize(
         _dealt(carried).mapInArrow(

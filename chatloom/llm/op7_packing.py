@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from chatloom.llm.common import hand_back_memory
 from chatloom.llm.word_pieces import TOKENIZER_FILE, encoder
 
 END_ID = 2
@@ -183,6 +184,7 @@ def _packed(
                 yield emit(last=False)
     if items:
         yield emit(last=True)
+    hand_back_memory()
 
 
 def pack_documents(
