@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import fresh
+from chatloom.llm.common import fresh, hand_back_memory
 
 # Labelled rows that the classifier is fitted on at most, give or take the chance of the hash.
 SAMPLE_ROWS = 20_000
@@ -72,19 +72,24 @@ def features(text: str | None) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, float]:
-    """Places and weights that are not zero, and the intercept, from (places, label) in order."""
+    """Places and weights that are not zero, and the intercept, from (places, label) in order.
+
+    The list is used up: rows lose the places that are too rare.
+    """
     positive = sum(label for _, label in rows)
     intercept = float(np.log((positive + 1) / (len(rows) - positive + 9)))
     size = 1 << HASH_BITS
     seen = np.zeros(size, dtype=np.int32)
     for places, _ in rows:
         seen[places] += 1
-    kept = [(places[seen[places] >= MIN_ROWS], label) for places, label in rows]
+    # One after the other, so that the places that are left out need not stay in memory.
+    for at, (places, label) in enumerate(rows):
+        rows[at] = (places[seen[places] >= MIN_ROWS], label)
     z, n = np.zeros(size), np.zeros(size)
     bias_z, bias_n = 0.0, 0.0
     bias = intercept
     for _ in range(EPOCHS):
-        for places, label in kept:
+        for places, label in rows:
             zs, ns = z[places], n[places]
             roots = np.sqrt(ns)
             weights = np.where(
@@ -127,6 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
                     "places": [features(text).tobytes() for text in frame["text"]],
                 }
             )
+        hand_back_memory()
 
     # The sampled ids are bounded by SAMPLE_ROWS, so they are broadcast to the scan of the texts.
     rows = (
@@ -145,6 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
             for places, label in zip(frame["places"], frame["label"], strict=True)
         ]
         places, weights, bias = fit(data)
+        data.clear()
+        hand_back_memory()
         yield pd.DataFrame({"place": np.append(places, -1), "weight": np.append(weights, bias)})
 
     model = rows.mapInPandas(fitted, "place int, weight double").toPandas()
@@ -169,6 +177,8 @@ def score(docs: DataFrame, model: tuple, keep: tuple[str, ...], name: str) -> Da
             sums = np.array([dense[features(text.as_py())].sum() for text in texts], dtype=float)
             scores = 1.0 / (1.0 + np.exp(-np.clip(sums + bias, -35, 35)))
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names)
+        del dense
+        hand_back_memory()
 
     return narrow.mapInArrow(run, f"{fields}, `{name}` double")
 
