@@ -5,11 +5,12 @@ words that occurs often enough is a candidate; each of its cuts compares its cou
 the two parts, 1000·a·n / (l·r), and the lowest value is its score. A candidate that occurs nowhere
 but inside a longer one is dropped.
 
-* Counting: only phrases whose neighbouring words are all frequent pairs can be frequent. A first scan
-  counts words exactly and pairs in ``CELLS`` cells, to which pairs are dealt by a hash; a cell that
-  reaches the least count may hold frequent pairs, the others cannot. Which cells do is a table of
-  16 MB whatever the size of the corpus: it saves work and never decides a count. A second scan counts
-  the phrases that run through such pairs, sorted and combined in the task, and Spark adds them up.
+* Counting: only phrases whose neighbouring words are all frequent pairs, and frequent triples, can be
+  frequent. A first scan counts words exactly and pairs in ``CELLS`` cells, to which pairs are dealt by
+  a hash; a cell that reaches the least count may hold frequent pairs, the others cannot. A second scan
+  does the same for triples that run through such pairs. Which cells may is a table of 16 MB for each,
+  whatever the size of the corpus: it saves work and never decides a count. A third scan counts the
+  phrases that run through such pairs and triples, combined in the task, and Spark adds them up.
 * Streams: counts are kept in two orders, by a phrase's words from the first on and from the last on,
   in ranges of the first (last) two words. In prefix order, a phrase's beginnings are the rows that
   stand open above it: one pass gives the count of every left part and whether one more word behind
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import materialize
+from chatloom.llm.common import hand_back_memory, materialize
 from chatloom.operators.skew import hot_keys, lookup
 
 MIN_COUNT = 100
@@ -47,8 +48,10 @@ BLOCK_BITS = 17
 MOST_PARTIAL = (1 << 15) - 1
 
 # Bytes of text that are split at a time, and counts of cells that a task holds.
-CALL_BYTES = 6 << 20
-HELD_CELLS = 4_000_000
+CALL_BYTES = 4 << 20
+HELD_CELLS = 1_500_000
+# Rows of counts that a task adds up before it sends them on.
+HELD_ROWS = 400_000
 
 _WORD, _BLANK, _BREAK = range(3)
 _KINDS = np.full(256, _WORD, dtype=np.uint8)
@@ -56,6 +59,7 @@ _KINDS[[0x20, 0x09]] = _BLANK
 _KINDS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = _BREAK
 
 FIRST_COUNTS = "lang string, word string, f bigint, block int, cells binary"
+CELL_COUNTS = "block int, cells binary"
 PHRASES = "lang string, phrase string, f bigint"
 LEFT = "lang string, words array<string>, a bigint, last_f bigint, inside boolean, parts array<bigint>"
 SCORED = "lang string, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint"
@@ -101,17 +105,23 @@ class Words:
         """Whether each word but the last has the next one in its piece."""
         return self.pieces[1:] == self.pieces[:-1]
 
-    def cells(self, lang: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The cells of pairs, given by numbers of language and words."""
-        words, languages = (
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each word and of each language of the dictionaries."""
+        return tuple(
             np.fromiter(
                 map(xxhash.xxh64_intdigest, values.cast(pa.binary()).to_pylist()), np.uint64, len(values)
             )
             for values in (self.dictionary, self.languages)
         )
-        mixed = (words[left] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[right] >> np.uint64(1))
-        mixed = (mixed ^ languages[lang]) * np.uint64(0xBF58476D1CE4E5B9)
-        return (mixed ^ (mixed >> np.uint64(29))) >> np.uint64(64 - CELL_BITS)
+
+    def cells(self, at: np.ndarray, length: int) -> np.ndarray:
+        """The cells of the phrases of ``length`` words that begin at some places."""
+        words, languages = self.hashes()
+        mixed = languages[self.lang[at]]
+        for place in range(length):
+            mixed = (mixed ^ words[self.codes[at + place]]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        return (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - CELL_BITS)
 
 
 def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -129,61 +139,127 @@ def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
             start = stop
 
 
-def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Lists of (cell, count) as one, by cell."""
-    cells, counts = (np.concatenate(side) for side in zip(*held, strict=True))
-    order = np.argsort(cells)
-    cells = cells[order]
-    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
-    return cells[first], np.add.reduceat(counts[order], first)
+class _Cells:
+    """Counts of cells that a task has seen, sent on in blocks."""
+
+    def __init__(self) -> None:
+        self._held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, cells: np.ndarray) -> bool:
+        """Count some cells; whether it is time to send the counts on."""
+        if len(cells):
+            self._held.append(np.unique(cells, return_counts=True))
+        return sum(len(one) for one, _ in self._held) > HELD_CELLS
+
+    def blocks(self) -> tuple[pa.Array, pa.Array]:
+        """Numbers of blocks, and their cells with counts; nothing is held afterwards."""
+        if not self._held:
+            return pa.array([], pa.int32()), pa.array([], pa.binary())
+        cells, counts = (np.concatenate(side) for side in zip(*self._held, strict=True))
+        self._held.clear()
+        order = np.argsort(cells)
+        cells = cells[order]
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+        cells, counts = cells[first], np.add.reduceat(counts[order], first)
+        numbers = (cells >> np.uint64(BLOCK_BITS)).astype(np.int32)
+        entries = (cells & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32) << np.uint32(15)
+        entries |= np.minimum(counts, MOST_PARTIAL).astype(np.uint32)
+        first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+        parts = [part.astype("<u4").tobytes() for part in np.split(entries, first[1:])]
+        return pa.array(numbers[first]), pa.array(parts, pa.binary())
+
+
+class _Counts:
+    """Rows of (language, words, count) that a task has seen, added up before they are sent on."""
+
+    def __init__(self, name: str) -> None:
+        self._names = ["lang", name, "f"]
+        self._held: list[pa.RecordBatch] = []
+        self._rows = 0
+
+    def add(self, lang: pa.Array, words: pa.Array, counts: np.ndarray) -> pa.Table | None:
+        columns = [lang, words, pa.array(counts.astype(np.int64))]
+        self._held.append(pa.RecordBatch.from_arrays(columns, self._names))
+        self._rows += len(counts)
+        if self._rows <= HELD_ROWS:
+            return None
+        table = self.take()
+        if table.num_rows > HELD_ROWS // 2:
+            return table
+        self._held, self._rows = table.to_batches(), table.num_rows
+        return None
+
+    def take(self) -> pa.Table:
+        if not self._held:
+            kinds = (pa.string(), pa.string(), pa.int64())
+            return pa.table([pa.array([], kind) for kind in kinds], names=self._names)
+        table = pa.Table.from_batches(self._held)
+        self._held, self._rows = [], 0
+        summed = table.group_by(self._names[:2], use_threads=False).aggregate([("f", "sum")])
+        return summed.rename_columns(self._names)
 
 
 def _first_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words, and those of cells of pairs in blocks."""
     names = _names(FIRST_COUNTS)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    cells, counts = _Cells(), _Counts("word")
 
-    def blocks() -> pa.RecordBatch:
-        cells, counts = _summed(held)
-        held.clear()
-        numbers = (cells >> np.uint64(BLOCK_BITS)).astype(np.int32)
-        entries = (cells & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32) << np.uint32(15)
-        entries |= np.minimum(counts, MOST_PARTIAL).astype(np.uint32)
-        first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
-        parts = [part.astype("<u4").tobytes() for part in np.split(entries, first[1:])]
-        none = pa.nulls(len(first), pa.string())
-        return pa.RecordBatch.from_arrays(
-            [none, none, pa.nulls(len(first), pa.int64()), pa.array(numbers[first]), pa.array(parts)],
-            names,
-        )
+    def of_words(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for batch in table.to_batches():
+            rest = [pa.nulls(batch.num_rows, kind) for kind in (pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *rest], names)
+
+    def of_cells() -> pa.RecordBatch:
+        blocks = cells.blocks()
+        kinds = (pa.string(), pa.string(), pa.int64())
+        rest = [pa.nulls(len(blocks[0]), kind) for kind in kinds]
+        return pa.RecordBatch.from_arrays([*rest, *blocks], names)
 
     for words in _calls(batches):
         size = len(words.dictionary)
-        keys, counts = np.unique(words.lang * size + words.codes, return_counts=True)
+        keys, seen = np.unique(words.lang * size + words.codes, return_counts=True)
         lang, word = np.divmod(keys, size)
-        yield pa.RecordBatch.from_arrays(
-            [
-                words.languages.take(pa.array(lang)), words.dictionary.take(pa.array(word)),
-                pa.array(counts.astype(np.int64)), pa.nulls(len(keys), pa.int32()),
-                pa.nulls(len(keys), pa.binary()),
-            ],
-            names,
-        )
-        left = np.flatnonzero(words.together())
-        pairs = (words.lang[left] * size + words.codes[left]) * size + words.codes[left + 1]
-        pairs, counts = np.unique(pairs, return_counts=True)
-        if len(pairs):
-            rest, right = np.divmod(pairs, size)
-            cells = words.cells(rest // size, rest % size, right)
-            held.append((cells, counts))
-            if sum(len(one) for one, _ in held) > HELD_CELLS:
-                yield blocks()
-    if held:
-        yield blocks()
-
-
-def frequent_cells(first: DataFrame, min_count: int) -> np.ndarray:
-    """One bit for each cell: whether its pairs occur at least ``min_count`` times together."""
+        full = counts.add(
+            words.languages.take(pa.array(lang)), words.dictionary.take(pa.array(word)), seen
+        )
+        if full is not None:
+            yield from of_words(full)
+        if cells.add(words.cells(np.flatnonzero(words.together()), 2)):
+            yield of_cells()
+    yield from of_words(counts.take())
+    yield of_cells()
+    hand_back_memory()
+
+
+def _second_scan(batches: Iterator[pa.RecordBatch], pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Counts of cells of triples of which both pairs may be frequent."""
+    cells = _Cells()
+    for words in _calls(batches):
+        if cells.add(words.cells(_both(_frequent_pairs(words, pairs)), 3)):
+            yield pa.RecordBatch.from_arrays([*cells.blocks()], _names(CELL_COUNTS))
+    yield pa.RecordBatch.from_arrays([*cells.blocks()], _names(CELL_COUNTS))
+    hand_back_memory()
+
+
+def _marked(cells: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return (table[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _frequent_pairs(words: Words, table: np.ndarray) -> np.ndarray:
+    """Whether a pair that may be frequent begins at each word."""
+    found = np.zeros(len(words.codes), dtype=bool)
+    at = np.flatnonzero(words.together())
+    found[at[_marked(words.cells(at, 2), table)]] = True
+    return found
+
+
+def _both(follows: np.ndarray) -> np.ndarray:
+    """Places that are marked as well as the next one."""
+    return np.flatnonzero(follows[:-1] & follows[1:])
+
+
+def frequent_cells(counted: DataFrame, min_count: int) -> np.ndarray:
+    """One bit for each cell: whether its phrases occur at least ``min_count`` times together."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -198,7 +274,7 @@ def frequent_cells(first: DataFrame, min_count: int) -> np.ndarray:
             [pa.array(list(totals), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"]
         )
 
-    blocks = first.where(F.col("block").isNotNull()).select("block", "cells")
+    blocks = counted.where(F.col("block").isNotNull()).select("block", "cells")
     table = np.zeros(CELLS // 8, dtype=np.uint8)
     size = (1 << BLOCK_BITS) // 8
     # At most one row for each block: 16 MB in all.
@@ -207,21 +283,30 @@ def frequent_cells(first: DataFrame, min_count: int) -> np.ndarray:
     return table
 
 
-def _phrases(words: Words, table: np.ndarray, max_words: int) -> Iterator[pa.RecordBatch]:
-    """The phrases of a call that run through frequent cells, each once with its count."""
+def _third_scan(
+    batches: Iterator[pa.RecordBatch], pairs: np.ndarray, triples: np.ndarray, max_words: int
+) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases that run through pairs and triples that may be frequent."""
+    counts = _Counts("phrase")
+    for words in _calls(batches):
+        for lang, phrases, seen in _phrases(words, pairs, triples, max_words):
+            if (full := counts.add(lang, phrases, seen)) is not None:
+                yield from full.to_batches()
+    yield from counts.take().to_batches()
+    hand_back_memory()
+
+
+def _phrases(
+    words: Words, pairs: np.ndarray, triples: np.ndarray, max_words: int
+) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray]]:
+    """The phrases of a call, those of each length by language, phrase and count."""
     size = len(words.dictionary)
-    left = np.flatnonzero(words.together())
-    pairs = (words.lang[left] * size + words.codes[left]) * size + words.codes[left + 1]
-    different, which = np.unique(pairs, return_inverse=True)
-    if not len(different):
-        return
-    rest, right = np.divmod(different, size)
-    cells = words.cells(rest // size, rest % size, right)
-    kept = (table[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1
-    follows = np.zeros(len(words.codes), dtype=bool)
-    follows[left[kept[which].astype(bool)]] = True
-    # Phrases of n words are numbered in their order; a longer one is such a number and one more word.
+    follows = _frequent_pairs(words, pairs)
     at = np.flatnonzero(follows)
+    triple = np.zeros(len(follows), dtype=bool)
+    starts = _both(follows)
+    triple[starts[_marked(words.cells(starts, 3), triples)]] = True
+    # Phrases of n words are numbered in their order; a longer one is such a number and one more word.
     number = words.lang[at] * size + words.codes[at]
     for length in range(2, max_words + 1):
         different, first, number, counts = np.unique(
@@ -232,15 +317,9 @@ def _phrases(words: Words, table: np.ndarray, max_words: int) -> Iterator[pa.Rec
             return
         begin = at[first]
         parts = [words.dictionary.take(pa.array(words.codes[begin + place])) for place in range(length)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                words.languages.take(pa.array(words.lang[begin])),
-                pc.binary_join_element_wise(*parts, " "),
-                pa.array(counts.astype(np.int64)),
-            ],
-            _names(PHRASES),
-        )
-        longer = follows[at + length - 1]
+        lang = words.languages.take(pa.array(words.lang[begin]))
+        yield lang, pc.binary_join_element_wise(*parts, " "), counts
+        longer = triple[at + length - 2]
         at, number = at[longer], number[longer]
 
 
@@ -252,16 +331,20 @@ def count_phrases(
     if not 0 < min_count <= MOST_PARTIAL or max_words < 2:
         raise ValueError(f"a count of 1 to {MOST_PARTIAL} and two words at least")
     narrow = docs.select(docs["lang"].cast("string"), docs["text"].cast("string"))
+    context = docs.sparkSession.sparkContext
     first = materialize(narrow.mapInArrow(_first_scan, FIRST_COUNTS), "word-counts")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_cells(first, min_count))
+    pairs = context.broadcast(frequent_cells(first, min_count))
+    second = materialize(
+        narrow.mapInArrow(lambda batches: _second_scan(batches, pairs.value), CELL_COUNTS), "triples"
+    )
+    triples = context.broadcast(frequent_cells(second, min_count))
 
-    def second_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _calls(batches):
-            yield from _phrases(words, shared.value, max_words)
+    def third_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _third_scan(batches, pairs.value, triples.value, max_words)
 
     counted = first.where(F.col("block").isNull())
     frequent = F.col("f") >= min_count
-    phrases = narrow.mapInArrow(second_scan, PHRASES).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    phrases = narrow.mapInArrow(third_scan, PHRASES).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     words = counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
     return (
         materialize(phrases.where(frequent), "phrases"),

@@ -80,6 +80,7 @@ def test_any_texts(spark, rows):
 def test_calls_and_batches_are_added_up(spark, monkeypatch):
     monkeypatch.setattr(op13_collocations, "CALL_BYTES", 40)
     monkeypatch.setattr(op13_collocations, "HELD_CELLS", 3)
+    monkeypatch.setattr(op13_collocations, "HELD_ROWS", 4)
     docs = spark.createDataFrame(ROWS, "lang string, text string").coalesce(1)
     first = list(op13_collocations._first_scan(iter([docs.toArrow().to_batches()[0]])))
     counts = Counter()
