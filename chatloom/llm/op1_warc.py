@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import delete_path, materialize, rename_path, scratch_path
+from chatloom.llm.common import delete_path, materialize, path_exists, rename_path, scratch_path
 
 MIN_REVISIT = 100
 ROLL_BYTES = 1 << 30
@@ -211,8 +211,15 @@ def write_warc(
     pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES,
     partition_bytes: int = PARTITION_BYTES,
 ) -> None:
-    """Write ``page_id``, ``url`` and ``html`` as WARC files with a manifest below ``folder``."""
+    """Write ``page_id``, ``url`` and ``html`` as WARC files with a manifest below ``folder``.
+
+    A folder with a manifest is refused before anything is written. Without one, what an earlier
+    attempt left behind is replaced: equal pages make equal files, and only a manifest makes them
+    count. One writer at a time is meant to use a folder.
+    """
     spark = pages.sparkSession
+    if path_exists(spark, f"{folder}/_manifest"):
+        raise FileExistsError(f"{folder} holds an archive")
     facts = materialize(_prepared(pages), "warc-facts")
     cuts = _cuts(facts, partition_bytes)
     originals = _originals(facts)
@@ -280,6 +287,10 @@ def write_warc(
                 source, target = f"{root}/{row['temporary']}", f"{root}/{row['name']}"
                 # A task that runs again finds its file under the final name already.
                 if files.get_file_info(source).type != pafs.FileType.NotFound:
+                    if files.get_file_info(f"{root}/_manifest").type != pafs.FileType.NotFound:
+                        raise FileExistsError(f"{folder} holds an archive")
+                    if files.get_file_info(target).type != pafs.FileType.NotFound:
+                        files.delete_file(target)  # of an attempt that was not committed
                     files.move(source, target)
                 if files.get_file_info(target).size != row["bytes"]:
                     raise OSError(f"{target} is not the file that was written")
@@ -339,22 +350,24 @@ RECORD = (
 )
 
 
+# Bytes that are unpacked at a time; what follows a record in them is copied once for each record.
+_UNPACK_BYTES = 16 << 10
+
+
 def _records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of the records of a file, one gzip member at a time."""
-    unpacker, data = zlib.decompressobj(31), b""
-    pending = b""
-    while True:
-        chunk = pending or stream.read(1 << 20)
-        if not chunk:
-            if data:
-                raise ValueError("the file ends inside a record")
-            return
-        data += unpacker.decompress(chunk)
-        pending = b""
-        if unpacker.eof:
-            pending = unpacker.unused_data
-            unpacker = zlib.decompressobj(31)
-            head, _, rest = data.partition(b"\r\n\r\n")
+    unpacker, parts = zlib.decompressobj(31), []
+    while chunk := stream.read(1 << 20):
+        at = 0
+        while at < len(chunk):
+            piece = chunk[at : at + _UNPACK_BYTES]
+            parts.append(unpacker.decompress(piece))
+            at += len(piece)
+            if not unpacker.eof:
+                continue
+            at -= len(unpacker.unused_data)
+            head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
+            unpacker, parts = zlib.decompressobj(31), []
             fields = dict(
                 line.split(": ", 1) for line in head.decode("utf-8").split("\r\n")[1:]
             )
@@ -364,11 +377,27 @@ def _records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
             if fields["WARC-Block-Digest"] != _block_digest(block):
                 raise ValueError("a record does not match its digest")
             yield fields, block
-            data = b""
+    if any(parts):
+        raise ValueError("the file ends inside a record")
+
+
+class _Counted:
+    """A stream that counts and hashes what is read from it."""
+
+    def __init__(self, stream) -> None:
+        self._stream = stream
+        self.size, self.hash = 0, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self._stream.read(size)
+        self.size += len(data)
+        self.hash.update(data)
+        return data
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of the files that the manifest lists, checked against their digests.
+    """The records of the files that the manifest lists, checked against their digests; the files
+    are checked against the manifest's sizes and hashes.
 
     A revisit has no payload; its size and digest are those of the record it refers to.
     """
@@ -387,9 +416,11 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
             return pa.RecordBatch.from_pylist(rows, schema=schema)
 
         rows, held = [], 0
-        for name in (name for batch in batches for name in batch.column(0).to_pylist()):
+        listed = (row for batch in batches for row in batch.to_pylist())
+        for name, size_listed, hash_listed in (tuple(row.values()) for row in listed):
             with files.open_input_stream(f"{root}/{name}", compression=None) as stream:
-                for fields, block in _records_of(stream):
+                counted = _Counted(stream)
+                for fields, block in _records_of(counted):
                     kind = fields["WARC-Type"]
                     if kind == "warcinfo":
                         continue
@@ -418,11 +449,13 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                     if held > 8 << 20 or len(rows) >= 2_000:
                         yield batch_of(rows)
                         rows, held = [], 0
+                if (counted.size, counted.hash.hexdigest()) != (size_listed, hash_listed):
+                    raise ValueError(f"{name} is not the file that the manifest lists")
         yield batch_of(rows)
 
-    names = read_manifest(spark, folder).select("name")
+    listed = read_manifest(spark, folder).select("name", "bytes", "sha256")
     # A task for each file: the names are a short list, not the data.
-    return names.repartition(max(1, names.count())).mapInArrow(run, RECORD)
+    return listed.repartition(max(1, listed.count())).mapInArrow(run, RECORD)
 
 
 def archive(pages: DataFrame) -> tuple[str, DataFrame]:

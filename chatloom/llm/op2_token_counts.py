@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +91,11 @@ def deltas(changes: DataFrame) -> DataFrame:
 
 
 class TokenStore:
-    """Totals below ``folder``: ``batches/<id>`` and ``snapshots/<number>``."""
+    """Totals below ``folder``: ``batches/<id>/<attempt>`` and ``snapshots/<number>``.
+
+    A batch is written below the store and moved to a name of its own, so writers of the same batch
+    never meet; of several attempts that arrived, the first by time and name counts, for all readers.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -100,7 +105,12 @@ class TokenStore:
         files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not files.exists(path):
             return []
-        return sorted(status.getPath().getName() for status in files.listStatus(path))
+        found = [(s.getModificationTime(), s.getPath().getName()) for s in files.listStatus(path)]
+        return [name for _, name in sorted(found)]
+
+    def _attempt(self, batch_id: str) -> str:
+        """The attempt of a committed batch that counts."""
+        return f"{self.folder}/batches/{batch_id}/{self._list(f'batches/{batch_id}')[0]}"
 
     def _snapshot(self) -> tuple[str | None, set[str]]:
         """The newest snapshot and the batches that it holds."""
@@ -120,19 +130,18 @@ class TokenStore:
             raise ValueError(f"a batch id of letters, digits, '.', '_' and '-': {batch_id!r}")
         if batch_id in self.committed():
             return False
-        writing = scratch_path(self.spark, "token-batch")
+        attempt = uuid4().hex
+        writing = f"{self.folder}/_writing/{attempt}"
         deltas(changes).write.parquet(writing)
-        if rename_path(self.spark, writing, f"{self.folder}/batches/{batch_id}"):
-            return True
-        delete_path(self.spark, writing)
-        return False
+        final = f"{self.folder}/batches/{batch_id}/{attempt}"
+        if not rename_path(self.spark, writing, final):
+            raise OSError(f"{writing} could not be moved to {final}")
+        return self._attempt(batch_id) == final
 
     def totals(self) -> DataFrame:
         """The additive totals of all committed batches."""
         newest, held = self._snapshot()
-        paths = [
-            f"{self.folder}/batches/{name}" for name in self._list("batches") if name not in held
-        ]
+        paths = [self._attempt(name) for name in self._list("batches") if name not in held]
         if newest is not None:
             paths.append(f"{self.folder}/snapshots/{newest}/totals")
         if not paths:
@@ -150,7 +159,7 @@ class TokenStore:
         newest, _ = self._snapshot()
         names = sorted(self.committed())
         number = str(int(newest or 0) + 1)
-        writing = scratch_path(self.spark, "token-snapshot")
+        writing = f"{self.folder}/_writing/{uuid4().hex}"
         self.totals().write.parquet(f"{writing}/totals")
         self.spark.createDataFrame([(name,) for name in names], "value string").write.text(
             f"{writing}/names"
@@ -165,7 +174,8 @@ class TokenStore:
 
 def corpus_changes(counted: DataFrame) -> dict[str, DataFrame]:
     """The life of a corpus as batches: all documents are loaded, copies of a text but the one with
-    the least id are deleted, and what stays is recounted with an end id.
+    the least id are deleted, they come back, and all are recounted with an end id. So the totals in
+    the end are those of all documents.
 
     ``counted`` is a written table of ``count_tokens`` with a unique number ``row``.
     """
@@ -182,8 +192,8 @@ def corpus_changes(counted: DataFrame) -> dict[str, DataFrame]:
     return {
         "load": rows.withColumn("op", F.lit("insert")),
         "copies": marked.where(~stays).withColumn("op", F.lit("delete")),
-        "end-ids": marked.where(stays)
-        .withColumn("op", F.lit("revise"))
+        "copies-again": marked.where(~stays).withColumn("op", F.lit("insert")),
+        "end-ids": rows.withColumn("op", F.lit("revise"))
         .withColumn("old_tokens", F.col("tokens"))
         .withColumn("tokens", F.col("tokens") + 1),
     }

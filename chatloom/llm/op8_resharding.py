@@ -1,33 +1,35 @@
 """Minimum-cost-flow resharding: from the files a table lies in to shards of given capacities.
 
-Old shards are the table's files in the order of their paths (runs of files, beyond
-``MAX_OLD``). Old shard ``i`` and new shard ``i`` are
+Old shards are the table's files in the order of their paths (beyond ``MAX_OLD`` files, runs of
+files), or what the caller's column says. Old shard ``i`` and new shard ``i`` are
 the same place, so bytes that stay cost nothing and bytes that move cost their number (or a given
 cost for each pair of places). The flow from old sizes to new capacities of least cost says how many
-bytes go from where to where. It is realized by blocks: the rows of an old shard whose hash falls
-into one of ``BLOCKS`` values, moved whole. Largest blocks go first, each to the target with the most
-of its flow left, and blocks are so small that shards come out near their capacities. Then the
-affected shards are written anew, rows ordered by block, with gapless slots; a shard that no
-transfer touches keeps its file.
+bytes go from where to where. It is realized by blocks: the rows of an old shard whose place in
+their file hashes to one of ``BLOCKS`` values, moved whole. Ids and texts do not matter for that, so
+an id or text with very many rows is spread like any other rows. Largest blocks go first, each to the
+target with the most of its flow left, and blocks are so small that shards come out near their
+capacities. Then the affected shards are written anew, rows ordered by block, with gapless slots; a
+shard that no transfer touches keeps its file.
 
 The driver sees block sizes (at most ``BLOCKS`` for each old shard, ``MAX_BLOCKS`` in all) and shard
 sizes, never rows. The texts are shuffled once, by block, and written once.
 
 Edge cases: a null text has no bytes besides the fixed ones and a crc of the empty text; rows that
-repeat stay apart; equal ids and texts fall into one block; null ids are spread by text; an empty
-table gives no rows; only ``doc_id`` and ``text`` are read and written.
+repeat, null ids and ids with very many rows are spread row by row; a text larger than a shard's
+share makes its shard larger; an empty table gives no rows; only ``doc_id`` and ``text`` are read
+and written.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import delete_path, rename_path, scratch_path
+from chatloom.operators.order import index_by_order
 
 SHARDS = 24
 ROW_BYTES = 8
@@ -35,6 +37,9 @@ BLOCKS = 2_048
 MAX_BLOCKS = 100_000
 MAX_OLD = 1_024
 
+# Files whose numbers are broadcast; more are joined by shuffle.
+BROADCAST_FILES = 100_000
+
 # Bytes of one written file of a shard.
 FILE_BYTES = 128 << 20
 
@@ -152,49 +157,65 @@ def assign_blocks(
     return placed
 
 
-def _rows(docs: DataFrame, old_of: dict[str, int], blocks: int) -> DataFrame:
+def _rows(docs: DataFrame, olds: int, old: Column | None, blocks: int) -> DataFrame:
     """``doc_id``, ``text``, ``size``, ``text_crc32`` with old shard and block of every row."""
-    if len(old_of) > 1:
-        shard_of = F.from_json(F.lit(json.dumps(old_of)), "map<string,int>")
-        old = F.element_at(shard_of, F.col("_metadata.file_path"))
-    else:
-        old = F.lit(0)
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    spread = F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")))
-    return docs.select(
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "text",
         (F.octet_length(data) + ROW_BYTES).cast("bigint").alias("size"),
         F.crc32(data).alias("text_crc32"),
-        old.cast("int").alias("_old"),
-        F.pmod(spread, F.lit(blocks)).cast("int").alias("_block"),
+        (F.lit(0) if old is None else old).cast("int").alias("_old"),
+        F.pmod(F.xxhash64(file, row), F.lit(blocks)).cast("int").alias("_block"),
+        file.alias("_file_path"),
     )
+    if old is not None or olds == 1:
+        return rows.drop("_file_path")
+    # The number of a file among all is joined; the driver does not list paths.
+    files = docs.select(file.alias("_file_path")).distinct()
+    numbered = index_by_order(files, "_file_path", "_number")
+    count = numbered.count()
+    shard = F.floor(F.col("_number") * olds / count).cast("int")
+    if count <= BROADCAST_FILES:
+        numbered = F.broadcast(numbered)
+    return (
+        rows.drop("_old").join(numbered, "_file_path").withColumn("_old", shard)
+    ).drop("_file_path", "_number")
 
 
-def file_names(docs: DataFrame) -> list[str]:
-    """The paths of a table's files in order, as rows name them."""
-    return sorted(
-        row[0] for row in docs.select(F.col("_metadata.file_path")).distinct().collect()
+def uneven_shard(shards: int) -> Column:
+    """An old shard for each row of a table's files: shard sizes grow in even steps."""
+    at = F.pmod(
+        F.xxhash64(F.lit("old"), F.col("_metadata.file_path"), F.col("_metadata.row_index")),
+        F.lit(1 << 30),
     )
+    return F.floor(F.sqrt(at / float(1 << 30)) * shards)
 
 
 def reshard(
     docs: DataFrame, shards: int = SHARDS, capacities: Sequence[int] | None = None,
     cost: Callable[[int, int], int] | None = None, target: str | None = None,
-    file_bytes: int = FILE_BYTES,
+    file_bytes: int = FILE_BYTES, old: Column | None = None, old_shards: int = 1,
 ) -> tuple[DataFrame, dict]:
-    """Put ``docs``, read from files, into ``shards`` shards; return the rows and the plan.
+    """Put ``docs``, read from Parquet files, into ``shards`` shards; return the rows and the plan.
 
+    Rows lie in the shards that ``old`` says (0 to ``old_shards`` - 1, at most ``MAX_OLD`` shards;
+    an expression over a row's columns and file place), without it in those of their files.
     Without ``capacities`` all shards get equal bytes. Affected shards are written as Parquet files
     below ``shard=<n>`` of a folder that appears in one step when all is written, and read back;
     rows of kept shards come from the files where they are. The plan has that folder, old sizes,
     capacities, flow, moved bytes, kept shards and resulting sizes.
     """
     spark = docs.sparkSession
-    files = file_names(docs)
-    olds = max(1, min(len(files), MAX_OLD))
-    old_of = {name: place * olds // len(files) for place, name in enumerate(files)}
-    rows = _rows(docs, old_of, max(1, min(BLOCKS, MAX_BLOCKS // olds)))
+    if old is None:
+        files = docs.select(F.col("_metadata.file_path")).distinct().count()
+        olds = max(1, min(files, MAX_OLD))
+    elif not 0 < old_shards <= MAX_OLD:
+        raise ValueError(f"1 to {MAX_OLD} old shards")
+    else:
+        olds = old_shards
+    rows = _rows(docs, olds, old, max(1, min(BLOCKS, MAX_BLOCKS // olds)))
     counted = rows.groupBy("_old", "_block").agg(
         F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")
     )

@@ -23,6 +23,9 @@ from chatloom.llm import (
 from chatloom.llm.common import table
 
 
+OLD_SHARDS = 16
+
+
 def op1_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, records = op1_warc.archive(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,7 +58,12 @@ def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_resharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = op8_resharding.reshard(table(spark, sf_dir, "documents"))
+    # The rows as if they lay in shards of very unequal size, so that the flow has work to do.
+    rows, _ = op8_resharding.reshard(
+        table(spark, sf_dir, "documents"),
+        old=op8_resharding.uneven_shard(OLD_SHARDS),
+        old_shards=OLD_SHARDS,
+    )
     return op8_resharding.digests(rows)
 
 
