@@ -135,6 +135,20 @@ SELECT conv_id, error, CASE WHEN error IS NULL THEN dialogue END AS dialogue FRO
 """
 )
 ORACLES["sharegpt_to_chat"] = ORACLES["conversation_validity"]
+ORACLES["turn_range_validity"] = (
+    CONVERTED
+    + """
+SELECT conv_id, (SELECT count(*) FROM checked c WHERE c.conv_id = converted.conv_id) AS n_turns, error
+FROM converted
+"""
+)
+ORACLES["valid_turn_rows"] = (
+    CONVERTED
+    + """
+SELECT conv_id, turn, role, content AS value FROM checked JOIN converted USING (conv_id)
+WHERE error IS NULL
+"""
+)
 
 ORACLES["invalid_reasons"] = (
     CONVERTED

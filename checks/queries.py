@@ -31,6 +31,7 @@ from chatloom.operators.removal import match_log, removal_details
 from chatloom.operators.similar import nearest_earlier
 from chatloom.operators.split import sample_cap, train_eval_split
 from chatloom.operators.texts import text_of_conversations, text_of_records
+from chatloom.operators.turn_ranges import normalized_turns, validate_turns
 from chatloom.operators.vectors import (
     attach_vectors,
     normalize,
@@ -59,6 +60,7 @@ CONVERSATION_THRESHOLD = 0.3
 EVAL_RATIO = 0.1
 SEED = 42
 SAMPLE_CAP = 100
+TURN_RANGES = 40
 DOCUMENTS_PER_ARRAY = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,6 +232,20 @@ def conversation_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validity(convert_messages(conversations_from_turns(_varied_turns(spark, sf_dir))))
 
 
+@_query
+def turn_range_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity from summaries of ranges of turns; most conversations lie in several ranges."""
+    return validate_turns(_varied_turns(spark, sf_dir), ranges=TURN_RANGES)
+
+
+@_query
+def valid_turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _varied_turns(spark, sf_dir)
+    validity = materialize(validate_turns(turns), "validity")
+    found = normalized_turns(turns, validity, hot_rows=1)
+    return found.select("conv_id", "turn", F.col("from").alias("role"), "value")
+
+
 @_query
 def sharegpt_to_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validity(convert_records(_varied_records(spark, sf_dir), "sharegpt"))

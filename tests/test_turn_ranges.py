@@ -1,0 +1,92 @@
+"""Validation by ranges of turns against the validation of whole conversations."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from chatloom.operators.convert import convert_messages
+from chatloom.operators.turn_ranges import (
+    normalized_turns,
+    summarize_ranges,
+    validate_turns,
+)
+from chatloom.scratch import materialize
+from chatloom.sources.turns import conversations_from_turns
+
+SCHEMA = "conv_id long, turn long, role string, text string, error string"
+ROLES = ["user", "assistant", " User ", "GPT", "human", "system", "tool", None]
+
+
+def random_turns(seed, conversations=60):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(conversations):
+        size = rng.choice([1, 2, 2, 4, 6, 9, 40])
+        good = rng.random() < 0.6
+        for turn in range(size):
+            role = ("user", "assistant")[turn % 2]
+            if rng.random() < (0.03 if good else 0.3):
+                role = rng.choice(ROLES)
+            text = rng.choice(["", " 　", None]) if rng.random() < 0.02 else f"t{turn} "
+            rows.append((conv, 2 * turn, role, text, "clash"))
+    # A third of all turns is one conversation.
+    rows += [(999, n, ("user", "assistant")[n % 2], "x", "clash") for n in range(len(rows) // 2 // 2 * 2)]
+    rng.shuffle(rows)
+    return rows
+
+
+def whole(turns):
+    found = convert_messages(conversations_from_turns(turns))
+    return {row.conv_id: (row.n, row.error) for row in found.select("conv_id", F.size("messages").alias("n"), "error").collect()}
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 60])
+def test_ranges_do_not_change_the_result(spark, ranges):
+    turns = spark.createDataFrame(random_turns(ranges), SCHEMA)
+    found = {row.conv_id: (row.n_turns, row.error) for row in validate_turns(turns, ranges).collect()}
+    assert found == whole(turns)
+    assert found[999][1] is None and len({error for _, error in found.values()}) >= 4
+
+
+def test_a_large_conversation_is_validated_in_many_tasks(spark):
+    turns = spark.createDataFrame(random_turns(5), SCHEMA)
+    summaries = materialize(summarize_ranges(turns, 30), "s")
+    parts = {row.range: row.n_turns for row in summaries.where("conv_id = 999").collect()}
+    assert len(parts) >= 8 and max(parts.values()) < sum(parts.values()) / 4
+
+
+def test_one_bad_turn_at_the_seam(spark):
+    rows = [(1, n, ("user", "assistant")[n % 2], "x", None) for n in range(40)]
+    for at in range(1, 39):
+        broken = [(1, n, r, t, e) for _, n, r, t, e in rows if n != at]
+        turns = spark.createDataFrame(broken, SCHEMA)
+        if at % 9 == 0:
+            found = validate_turns(turns, 39).first()
+            assert found.error == "User and assistant turns must alternate", at
+
+
+def test_rows_of_valid_conversations(spark):
+    turns = spark.createDataFrame(random_turns(6), SCHEMA)
+    validity = materialize(validate_turns(turns), "v")
+    wanted = convert_messages(conversations_from_turns(turns)).where("error IS NULL")
+    expected = {
+        (row.conv_id, place): (entry["from"], entry["value"])
+        for row in wanted.collect()
+        for place, entry in enumerate(row.conversations)
+    }
+    for hot_rows in (1, 10**6):
+        rows = normalized_turns(turns, validity, hot_rows=hot_rows).collect()
+        numbered = {}
+        for row in sorted(rows, key=lambda r: (r.conv_id, r.turn)):
+            place = sum(1 for conv, _ in numbered if conv == row.conv_id)
+            numbered[row.conv_id, place] = (row["from"], row.value)
+        assert numbered == expected
+
+
+def test_no_turns(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert validate_turns(empty).count() == 0
+    assert normalized_turns(empty, materialize(validate_turns(empty), "v")).count() == 0
