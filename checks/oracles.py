@@ -48,9 +48,11 @@ SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, doc_id, text FRO
 ORACLES["exact_dedup_numbers"] = """
 WITH placed AS (
     SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, n_chars % 50 AS n,
-           doc_id % 2 AS spelling, lang FROM documents),
+           doc_id % 2 AS spelling, lang, text
+    FROM (SELECT * FROM documents
+          UNION ALL SELECT * REPLACE (doc_id + 10000000000 AS doc_id) FROM documents)),
 firsts AS (
-    SELECT source_index, min(source_index) OVER (PARTITION BY n, spelling, lang) AS retained
+    SELECT source_index, min(source_index) OVER (PARTITION BY n, spelling, lang, text) AS retained
     FROM placed)
 SELECT source_index, retained FROM firsts WHERE source_index > retained
 """

@@ -7,8 +7,9 @@ another role, or as malformed JSON. No row is left out for that.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,19 +155,34 @@ def json_document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A partition's lines and the end of their array."""
+    rows = 0
+    for batch in batches:
+        rows += batch.num_rows
+        yield batch
+    yield pa.RecordBatch.from_arrays([pa.array(["]"] if rows else [], pa.string())], ["value"])
+
+
 @_query
 def exact_dedup_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies among the records of a JSON file with numbers in two spellings that stay different."""
+    """Copies among the records of JSON files with numbers in two spellings that stay different.
+
+    Every document stands there twice, so that there are copies of both spellings.
+    """
     documents = _table(spark, sf_dir, "documents")
     number = (F.col("n_chars") % 50).cast("string")
+    again = documents.withColumn("doc_id", F.col("doc_id") + 10_000_000_000)
+    documents = documents.unionByName(again)
     spelled = F.when(F.col("doc_id") % 2 == 0, number).otherwise(F.concat(number, F.lit(".0")))
-    record = F.concat(F.lit('{"n": '), spelled, F.lit(', "lang": '), F.to_json(F.array("lang")), F.lit("}"))
+    kinds = F.to_json(F.struct(F.array("lang").alias("langs"), "text"))
+    record = F.concat(F.lit('{"n": '), spelled, F.lit(', "rest": '), kinds, F.lit("}"))
     path = scratch_path(spark, "numbers")
-    # A file of one array: every line but the first and the last is a record and a comma.
-    lines = documents.orderBy("doc_id").select(F.concat(record, F.lit(",")).alias("value"))
-    ends = [spark.createDataFrame([(text,)], "value string") for text in ("[", "{}]")]
-    one = ends[0].coalesce(1).unionByName(lines.coalesce(1)).unionByName(ends[1].coalesce(1))
-    one.coalesce(1).write.text(path)
+    # A file of one array for each range of ids; names of files follow the ranges.
+    ranged = documents.select("doc_id", record.alias("value")).repartitionByRange("doc_id")
+    opened = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, "[").otherwise(",")
+    ordered = ranged.sortWithinPartitions("doc_id").select(F.concat(opened, "value").alias("value"))
+    ordered.mapInArrow(_closed, "value string").write.text(path)
     scanned = scan_records(spark, path, layout="document")
     keyed = scanned.withColumn("key", record_key(F.col("v"), F.col("raw")))
     read, checks = materialize_and_measure(keyed.drop("v"), "records", **source_checks())
@@ -496,7 +512,9 @@ def precomputed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hashing encoder; each vector is shown by two numbers that any change would move."""
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Encoding costs more than moving the texts, and a small table lies in one split.
+    parts = spark.sparkContext.defaultParallelism
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts)
     return embed(documents, DedupParams(model_name_or_path=HASHED_MODEL)).select(
         "doc_id",
         F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("n_used"),
