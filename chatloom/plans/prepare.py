@@ -16,6 +16,7 @@ from chatloom.operators.texts import text_of_conversations
 from chatloom.params import PrepareParams
 from chatloom.plans.dedup import DedupResult, deduplicate, write_log
 from chatloom.scratch import materialize, materialize_and_measure
+from chatloom.sources.outputs import Outputs
 from chatloom.sources.records import (
     number_records,
     require_clean,
@@ -128,22 +129,27 @@ def prepare_file(
     """Read, convert, deduplicate, split, and write both sets with the reports.
 
     Records that cannot be converted are always set aside; text that is no JSON object fails the
-    job unless ``bad_records`` is ``quarantine``.
+    job unless ``bad_records`` is ``quarantine``. All outputs appear together, or none.
     """
     params.validate()
+    names = ["train/train.jsonl", "eval/eval.jsonl", "dataset_stats.json"]
     if params.dedup is not None:
         require_encoder(params.dedup, encoder)
+        names += ["semantic_dedup_report.json", "semantic_duplicates_removed.jsonl"]
+    outputs = Outputs(spark, output_dir, names)
+    outputs.require_free()
     scanned = convert_records(scan_records(spark, path, layout=layout), params.record_format)
     read, checks = materialize_and_measure(scanned.drop("v"), "converted", **source_checks())
     require_clean(spark, path, checks, layout=layout, bad_records=bad_records)
     records = number_records(read).withColumn("error", F.coalesce("parse_error", "error"))
     result = prepare(records, params, encoder=encoder)
-    if result.dedup is not None:
-        write_report(result.dedup.report, f"{output_dir}/semantic_dedup_report.json")
-        write_log(result.dedup.removed, f"{output_dir}/semantic_duplicates_removed.jsonl")
-    line = F.to_json(F.struct("conversations"))
-    for split in ("train", "eval"):
-        rows = seeded_order(result.prepared.where(F.col("split") == split), params.seed)
-        write_jsonl(rows, f"{output_dir}/{split}/{split}.jsonl", line)
-    write_report(result.stats, f"{output_dir}/dataset_stats.json")
+    with outputs:
+        if result.dedup is not None:
+            write_report(result.dedup.report, outputs.path("semantic_dedup_report.json"))
+            write_log(result.dedup.removed, outputs.path("semantic_duplicates_removed.jsonl"))
+        line = F.to_json(F.struct("conversations"))
+        for split in ("train", "eval"):
+            rows = seeded_order(result.prepared.where(F.col("split") == split), params.seed)
+            write_jsonl(rows, outputs.path(f"{split}/{split}.jsonl"), line)
+        write_report(result.stats, outputs.path("dataset_stats.json"))
     return result

@@ -502,6 +502,51 @@ FROM counts
 """
 )
 
+FIRSTS = """
+WITH placed AS (
+    SELECT row_number() OVER (ORDER BY doc_id) - 1 AS source_index, text FROM documents),
+firsts AS (
+    SELECT source_index, text, min(source_index) OVER (PARTITION BY text) AS retained FROM placed)
+"""
+
+ORACLES["removal_log_file"] = (
+    FIRSTS
+    + """
+SELECT source_index AS duplicate_source_index, retained AS retained_source_index,
+       'exact_duplicate' AS reason, 1.0::DOUBLE AS similarity, text
+FROM firsts WHERE source_index > retained
+"""
+)
+ORACLES["dedup_report_file"] = (
+    FIRSTS
+    + """
+, counts AS (
+    SELECT count(*) AS input_records, count(*) FILTER (WHERE source_index = retained) AS kept
+    FROM firsts)
+SELECT input_records, kept AS exact_unique_records, input_records - kept AS exact_duplicates_removed,
+       0::BIGINT AS semantic_duplicates_removed, kept AS retained_records,
+       input_records - kept AS total_removed,
+       round((input_records - kept) / input_records, 6) AS removal_rate
+FROM counts
+"""
+)
+ORACLES["strict_extraction"] = """
+SELECT coalesce('record ' || min(place) FILTER (WHERE length(text) % 11 = 3)
+                || ' has no usable text: no text', 'accepted') AS said
+FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, text FROM documents)
+"""
+ORACLES["split_guards"] = """
+WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+asked AS (SELECT source, n, ratio, greatest(1, round_even(n * ratio, 0))::BIGINT AS size
+          FROM counts, (VALUES (0.5::DOUBLE), (0.999::DOUBLE), (1.0::DOUBLE)) AS r(ratio))
+SELECT source, ratio,
+       CASE WHEN ratio >= 1 THEN 'eval_ratio has to lie between 0 and 1'
+            WHEN n < 2 THEN 'a split needs at least two valid records that differ'
+            WHEN size >= n THEN 'the ratio leaves no record for training'
+            ELSE size::VARCHAR END AS said
+FROM asked
+"""
+
 # -- the whole preparation ----------------------------------------------------------------------
 
 # The same rules on the turns as they are.

@@ -7,8 +7,10 @@ another role, or as malformed JSON. No row is left out for that.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from chatloom.operators.exact import (
 from chatloom.operators.order import index_by_order
 from chatloom.operators.removal import match_log, removal_details
 from chatloom.operators.similar import nearest_earlier
-from chatloom.operators.split import sample_cap, train_eval_split
+from chatloom.operators.split import eval_size, sample_cap, train_eval_split
 from chatloom.operators.texts import text_of_conversations, text_of_records
 from chatloom.operators.turn_ranges import normalized_turns, validate_turns
 from chatloom.operators.vectors import (
@@ -41,7 +43,7 @@ from chatloom.operators.vectors import (
     require_vectors,
 )
 from chatloom.params import HASHED_MODEL, DedupParams, PrepareParams
-from chatloom.plans.dedup import DedupResult, deduplicate
+from chatloom.plans.dedup import DedupResult, deduplicate, deduplicate_file
 from chatloom.plans.prepare import PrepareResult, prepare, prepare_file
 from chatloom.scratch import materialize, materialize_and_measure, scratch_path
 from chatloom.sources.records import (
@@ -52,6 +54,7 @@ from chatloom.sources.records import (
     scan_records,
     source_checks,
 )
+from chatloom.sources.outputs import output_path
 from chatloom.sources.sinks import write_jsonl
 from chatloom.sources.turns import conversations_from_turns, turns_from_conversations
 
@@ -693,6 +696,91 @@ def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def digest_encoder(params: DedupParams) -> Callable:
+    """An encoder under which only equal texts are alike: signs of the bits of a digest."""
+
+    def predict(texts: np.ndarray) -> np.ndarray:
+        heads = b"".join(hashlib.sha256(str(text).encode()).digest() for text in texts)
+        bits = np.unpackbits(np.frombuffer(heads, dtype=np.uint8)).reshape(len(texts), 256)
+        return (bits.astype(np.float32) * 2 - 1) / 16
+
+    return predict
+
+
+def _deduplicated_files(spark: SparkSession, sf_dir: str) -> str:
+    """The output folder of the removal job over the documents as JSONL records of one message."""
+    message = F.struct(F.lit("user").alias("from"), F.col("text").alias("value"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", F.array(message).alias("said"))
+    path, output = scratch_path(spark, "records") + ".jsonl", scratch_path(spark, "deduplicated")
+    write_jsonl(documents.orderBy("doc_id"), path, _object(conversations="said"))
+    deduplicate_file(
+        spark, path, output, DedupParams(), encoder=digest_encoder, bad_records="quarantine"
+    )
+    return output
+
+
+@_query
+def removal_log_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that the job writes, read back."""
+    log = output_path(spark, _deduplicated_files(spark, sf_dir), "removed_duplicates.jsonl")
+    schema = (
+        "duplicate_source_index bigint, retained_source_index bigint, reason string, "
+        "similarity double, record struct<conversations: array<struct<value: string>>>"
+    )
+    text = F.col("record.conversations")[0]["value"]
+    return spark.read.schema(schema).json(log).withColumn("text", text).drop("record")
+
+
+@_query
+def dedup_report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report that the job writes, read back."""
+    path = output_path(spark, _deduplicated_files(spark, sf_dir), "dedup_report.json")
+    counts = (
+        "input_records", "exact_unique_records", "exact_duplicates_removed",
+        "semantic_duplicates_removed", "retained_records", "total_removed",
+    )
+    schema = ", ".join(f"{name} bigint" for name in counts) + ", removal_rate double"
+    return spark.read.schema(schema).json(path, multiLine=True)
+
+
+@_query
+def strict_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the removal says about records of which some have no usable text."""
+    documents = _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "source_index")
+    bad = F.length("text") % 11 == 3
+    records = materialize(
+        documents.select(
+            "source_index",
+            F.col("text").alias("record"),
+            F.when(~bad, F.col("text")).alias("text"),
+            F.when(bad, F.lit("no text")).alias("text_error"),
+        ),
+        "strict",
+    )
+    try:
+        deduplicate(records, DedupParams(), encoder=digest_encoder, exact=False)
+        said = "accepted"
+    except ValueError as problem:
+        said = str(problem)
+    return spark.createDataFrame([(said,)], "said string")
+
+
+@_query
+def split_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a split of each source's documents says at three ratios."""
+    counts = _table(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each source; the guards are checks of parameters and of one number.
+    rows = []
+    for source, n in counts.collect():
+        for ratio in (0.5, 0.999, 1.0):
+            try:
+                said = str(eval_size(n, ratio))
+            except ValueError as problem:
+                said = str(problem)
+            rows.append((source, ratio, said))
+    return spark.createDataFrame(rows, "source string, ratio double, said string")
+
+
 # -- the whole preparation ----------------------------------------------------------------------
 
 
