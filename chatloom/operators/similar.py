@@ -111,7 +111,7 @@ def plan_tiling(
         wanted, parts = math.ceil(math.sqrt(2 * cells)), 1
     else:
         # The product of both counts is the number of cells; copies are fewest in this proportion.
-        wanted = math.ceil(math.sqrt(cells * rows / max(1, asking)))
+        wanted = max(1, math.ceil(math.sqrt(cells * rows / max(1, asking))))
         groups = max(1, for_memory, min(wanted, math.ceil(rows / few)))
         parts = min(math.ceil(cells / groups), max(1, math.ceil(asking / few)))
     for_all_cores = math.ceil(rows / (2 * wanted))
