@@ -7,7 +7,8 @@ gathered, and a feature counts only from its third row on, so the model is some
 thousands of (place, weight) pairs, which is what is broadcast to score every text.
 
 The sample is bounded by ``SAMPLE_ROWS`` labelled rows, chosen by a hash of the id, and is the only
-thing that passes through one task. Scores never depend on anything but the text.
+thing that passes through one task, which keeps it in a file, however long its texts. Scores never
+depend on anything but the text.
 
 Edge cases: null and empty texts have no features and get the score of the intercept; ids without
 a label are scored only; a label that is null is none, and of several labels of an id the highest
@@ -18,7 +19,9 @@ texts count whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -31,6 +34,8 @@ from chatloom.llm.common import fresh, hand_back_memory
 
 # Labelled rows that the classifier is fitted on at most, give or take the chance of the hash.
 SAMPLE_ROWS = 20_000
+# Texts whose features a task makes at a time.
+EXTRACT_ROWS = 64
 FOLDS = 5
 HASH_BITS = 22
 MIN_ROWS = 3
@@ -71,25 +76,58 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(places.astype(np.int32))
 
 
-def fit(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, float]:
+def _stored(rows: Iterable[tuple[np.ndarray, int]], file: BinaryIO) -> tuple[np.ndarray, ...]:
+    """The rows' places, in order, in ``file``, numbered among those of ``MIN_ROWS`` rows at least, which
+    are returned, too, with the rows' ends and labels."""
+    seen = np.zeros(1 << HASH_BITS, dtype=np.int32)
+    sizes, labels = [], []
+    for places, label in rows:
+        seen[places] += 1
+        file.write(places.tobytes())
+        sizes.append(len(places))
+        labels.append(label)
+    file.flush()
+    total = sum(sizes)
+    if not total:
+        return np.empty(0, np.int64), np.empty(0, np.int32), np.zeros(len(sizes), np.int64), np.array(labels, np.int32)
+    stored = np.asarray(np.memmap(file, dtype=np.int32, mode="r+", shape=(total,)))
+    common = seen >= MIN_ROWS
+    number = np.cumsum(common, dtype=np.int32) - np.int32(1)
+    # Rows lose the places that are too rare, so what is written never gets ahead of what is read.
+    start = end = 0
+    for at, size in enumerate(sizes):
+        places = stored[start : start + size]
+        start += size
+        kept = number[places[common[places]]]
+        stored[end : end + len(kept)] = kept
+        end += len(kept)
+        sizes[at] = len(kept)
+    return np.flatnonzero(common), stored[:end], np.cumsum(sizes), np.array(labels, np.int32)
+
+
+def fit(rows: Iterable[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, float]:
     """Places and weights that are not zero, and the intercept, from (places, label) in order.
 
-    The list is used up: rows lose the places that are too rare.
+    The rows are read once and lie in a file of the task's folder, which is mapped: memory depends on the
+    number of places that are in use, not on the length of the texts.
     """
-    positive = sum(label for _, label in rows)
-    intercept = float(np.log((positive + 1) / (len(rows) - positive + 9)))
-    size = 1 << HASH_BITS
-    seen = np.zeros(size, dtype=np.int32)
-    for places, _ in rows:
-        seen[places] += 1
-    # One after the other, so that the places that are left out need not stay in memory.
-    for at, (places, label) in enumerate(rows):
-        rows[at] = (places[seen[places] >= MIN_ROWS], label)
-    z, n = np.zeros(size), np.zeros(size)
+    with tempfile.TemporaryFile() as file:
+        return _fit(*_stored(rows, file))
+
+
+def _fit(
+    common: np.ndarray, stored: np.ndarray, ends: np.ndarray, labels: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, float]:
+    positive = int(labels.sum())
+    intercept = float(np.log((positive + 1) / (len(labels) - positive + 9)))
+    z, n = np.zeros(len(common)), np.zeros(len(common))
     bias_z, bias_n = 0.0, 0.0
     bias = intercept
     for _ in range(EPOCHS):
-        for places, label in rows:
+        start = 0
+        for end, label in zip(ends.tolist(), labels.tolist(), strict=True):
+            places = stored[start:end]
+            start = end
             zs, ns = z[places], n[places]
             roots = np.sqrt(ns)
             weights = np.where(
@@ -107,7 +145,7 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, flo
             bias = intercept - bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA + L2)
     active = np.flatnonzero(np.abs(z) > L1)
     weights = (np.sign(z[active]) * L1 - z[active]) / ((BETA + np.sqrt(n[active])) / ALPHA + L2)
-    return active.astype(np.int32), weights, float(bias)
+    return common[active].astype(np.int32), weights, float(bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
@@ -125,13 +163,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame(
-                {
-                    "order": frame["_order"],
-                    "label": frame["_label"],
-                    "places": [features(text).tobytes() for text in frame["text"]],
-                }
-            )
+            for start in range(0, len(frame), EXTRACT_ROWS):
+                part = frame.iloc[start : start + EXTRACT_ROWS]
+                yield pd.DataFrame(
+                    {
+                        "order": part["_order"],
+                        "label": part["_label"],
+                        "places": [features(text).tobytes() for text in part["text"]],
+                    }
+                )
         hand_back_memory()
 
     # The sampled ids are bounded by SAMPLE_ROWS, so they are broadcast to the scan of the texts.
@@ -144,18 +184,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple:
         .sortWithinPartitions("order", "label", "places")
     )
 
-    def fitted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        data = [
-            (np.frombuffer(places, dtype=np.int32), int(label))
-            for frame in frames
-            for places, label in zip(frame["places"], frame["label"], strict=True)
-        ]
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = (
+            (np.frombuffer(places.as_buffer(), dtype=np.int32), label.as_py())
+            for batch in batches
+            for label, places in zip(batch.column(0), batch.column(1), strict=True)
+        )
         places, weights, bias = fit(data)
-        data.clear()
         hand_back_memory()
-        yield pd.DataFrame({"place": np.append(places, -1), "weight": np.append(weights, bias)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(places, -1), pa.int32()), pa.array(np.append(weights, bias))],
+            ["place", "weight"],
+        )
 
-    model = rows.mapInPandas(fitted, "place int, weight double").toPandas()
+    model = rows.select("label", "places").mapInArrow(fitted, "place int, weight double").toPandas()
     inside = model[model["place"] >= 0]
     bias = float(model.loc[model["place"] < 0, "weight"].iloc[0]) if len(model) else np.log(1 / 9)
     return inside["place"].to_numpy(np.int32), inside["weight"].to_numpy(), bias

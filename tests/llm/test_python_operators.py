@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -413,6 +414,23 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark):
     assert first == second
 
 
+def test_fitting_does_not_hold_the_rows():
+    def rows(long):
+        for number in range(400):
+            toxic = number % 3 == 0
+            places = np.arange(long) * 10 + (1 << 20) + number % 10
+            yield np.append([5 if toxic else 7, 9], places).astype(np.int32), int(toxic)
+
+    tracemalloc.start()
+    places, weights, _ = op6_toxicity.fit(rows(100_000))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert places.dtype == np.int32 and len(places) == len(weights)
+    assert most < 100e6  # the rows have 160 MB
+    places, weights, _ = op6_toxicity.fit(rows(0))
+    assert weights[places == 5] > 0 and not np.isin(9, places)
+
+
 # 7 Packing
 
 
