@@ -10,7 +10,8 @@ but inside a longer one is dropped.
   a hash; a cell that reaches the least count may hold frequent pairs, the others cannot. A second scan
   does the same for triples that run through such pairs. Which cells may is a table of 16 MB for each,
   whatever the size of the corpus: it saves work and never decides a count. A third scan counts the
-  phrases that run through such pairs and triples, combined in the task, and Spark adds them up.
+  phrases that run through such pairs and triples, combined in a task for each core, and Spark adds
+  them up.
 * Streams: counts are kept in two orders, by a phrase's words from the first on and from the last on,
   in ranges of the first (last) two words. In prefix order, a phrase's beginnings are the rows that
   stand open above it: one pass gives the count of every left part and whether one more word behind
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,8 @@ CALL_BYTES = 4 << 20
 HELD_CELLS = 1_500_000
 # Rows of counts that a task adds up before it sends them on.
 HELD_ROWS = 400_000
+# Different phrases that a task keeps to add up; beyond, it sends them on and begins anew.
+HELD_PHRASES = 1_000_000
 
 _WORD, _BLANK, _BREAK = range(3)
 _KINDS = np.full(256, _WORD, dtype=np.uint8)
@@ -172,21 +176,25 @@ class _Cells:
 class _Counts:
     """Rows of (language, words, count) that a task has seen, added up before they are sent on."""
 
-    def __init__(self, name: str) -> None:
+    def __init__(self, name: str, most: int | None = None) -> None:
         self._names = ["lang", name, "f"]
         self._held: list[pa.RecordBatch] = []
         self._rows = 0
+        self._most = HELD_ROWS // 2 if most is None else most
+        self._full = HELD_ROWS
 
     def add(self, lang: pa.Array, words: pa.Array, counts: np.ndarray) -> pa.Table | None:
         columns = [lang, words, pa.array(counts.astype(np.int64))]
         self._held.append(pa.RecordBatch.from_arrays(columns, self._names))
         self._rows += len(counts)
-        if self._rows <= HELD_ROWS:
+        if self._rows <= self._full:
             return None
         table = self.take()
-        if table.num_rows > HELD_ROWS // 2:
+        if table.num_rows > self._most:
+            self._full = HELD_ROWS
             return table
         self._held, self._rows = table.to_batches(), table.num_rows
+        self._full = max(HELD_ROWS, 2 * table.num_rows)
         return None
 
     def take(self) -> pa.Table:
@@ -287,7 +295,7 @@ def _third_scan(
     batches: Iterator[pa.RecordBatch], pairs: np.ndarray, triples: np.ndarray, max_words: int
 ) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases that run through pairs and triples that may be frequent."""
-    counts = _Counts("phrase")
+    counts = _Counts("phrase", HELD_PHRASES)
     for words in _calls(batches):
         for lang, phrases, seen in _phrases(words, pairs, triples, max_words):
             if (full := counts.add(lang, phrases, seen)) is not None:
@@ -323,6 +331,20 @@ def _phrases(
         at, number = at[longer], number[longer]
 
 
+def partial_counts(narrow: DataFrame, pairs: Broadcast, triples: Broadcast, max_words: int) -> DataFrame:
+    """Counts of phrases that may be frequent, one row for each phrase and task that has it.
+
+    A frequent phrase stands in nearly every split, so a task for each split would send rows that grow
+    with the splits times the phrases; a task for each core reads many and sends a phrase once.
+    """
+
+    def third_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _third_scan(batches, pairs.value, triples.value, max_words)
+
+    cores = narrow.sparkSession.sparkContext.defaultParallelism
+    return narrow.coalesce(cores).mapInArrow(third_scan, PHRASES)
+
+
 def count_phrases(
     docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -339,12 +361,10 @@ def count_phrases(
     )
     triples = context.broadcast(frequent_cells(second, min_count))
 
-    def third_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _third_scan(batches, pairs.value, triples.value, max_words)
-
     counted = first.where(F.col("block").isNull())
     frequent = F.col("f") >= min_count
-    phrases = narrow.mapInArrow(third_scan, PHRASES).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    partial = partial_counts(narrow, pairs, triples, max_words)
+    phrases = partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     words = counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
     return (
         materialize(phrases.where(frequent), "phrases"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from compare import duckdb_bag, spark_bag
 from hypothesis import given, settings
@@ -91,6 +93,33 @@ def test_calls_and_batches_are_added_up(spark, monkeypatch):
     assert counts["en", "the"] == 11 and counts["de", "über"] == 2 and counts["de", "Über"] == 2
 
 
+def test_partial_counts_do_not_grow_with_the_splits(spark):
+    docs = spark.createDataFrame([("en", "a b c d e")] * 200, "lang string, text string").repartition(40)
+    every = spark.sparkContext.broadcast(np.full(op13_collocations.CELLS // 8, 255, np.uint8))
+    rows = op13_collocations.partial_counts(docs, every, every, 5).collect()
+    assert len(rows) <= 10 * spark.sparkContext.defaultParallelism < 400
+    found = Counter()
+    for row in rows:
+        found[row.phrase] += row.f
+    assert len(found) == 10 and set(found.values()) == {200}
+
+
+def test_a_task_sends_a_phrase_once_while_it_can_keep_them(monkeypatch):
+    rows = [("en", f"w{number}", number) for number in range(6)] * 50
+    for most, sent in ((6, 6), (5, 300)):
+        monkeypatch.setattr(op13_collocations, "HELD_ROWS", 4)
+        counts = op13_collocations._Counts("phrase", most)
+        tables = []
+        for lang, phrase, f in rows:
+            tables.append(counts.add(pa.array([lang]), pa.array([phrase]), np.array([f])))
+        tables = [table for table in [*tables, counts.take()] if table is not None]
+        assert (sum(table.num_rows for table in tables) <= sent) and (most < 6) == (len(tables) > 1)
+        found = Counter()
+        for row in pa.concat_tables(tables).to_pylist():
+            found[row["phrase"]] += row["f"]
+        assert found == Counter({f"w{number}": 50 * number for number in range(6)})
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 9_000_000_019
     phrases = spark.createDataFrame([("en", "p q", big)], op13_collocations.PHRASES)
