@@ -68,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     dedup.add_argument("--trust-remote-code", action=argparse.BooleanOptionalAction, default=None)
     dedup.add_argument("--matching", choices=MATCHING_MODES)
     dedup.add_argument("--recall", type=float)
+    dedup.add_argument("--compression", help="codec of the records that are written, such as gzip")
     dedup.set_defaults(run=_dedup)
     return parser
 
@@ -125,6 +126,7 @@ def _dedup(spark: SparkSession, options: argparse.Namespace) -> None:
         encoder=_encoder(options),
         layout=options.layout,
         bad_records=options.bad_records,
+        compression=options.compression,
     )
     _show(result.report.first().asDict(recursive=True))
 
